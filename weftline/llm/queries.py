@@ -31,3 +31,63 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
 
     links, members = near_duplicates(texts_of(table(spark, sf, "raw_telegram_posts"), table(spark, sf, "candidates")), 0.7, 10)
     return row_pairs(links, members).select(F.col("src").alias("src_table"), "id_a", "id_b")
+
+
+@query
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    from .leakage import leaks
+
+    return leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+@query
+def p9_passages(spark: SparkSession, sf: str) -> DataFrame:
+    from .leakage import leaked_passages
+
+    return leaked_passages(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+
+
+@query
+def p9_clean(spark: SparkSession, sf: str) -> DataFrame:
+    from .leakage import without_leaks
+
+    return without_leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "source", "lang", "n_chars")
+
+
+@query
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    from .spam import spam_pages
+
+    return spam_pages(table(spark, sf, "documents")).select("doc_id")
+
+
+@query
+def p10_profiles(spark: SparkSession, sf: str) -> DataFrame:
+    from .spam import page_profiles
+
+    return page_profiles(table(spark, sf, "documents"))
+
+
+@query
+def p8_containers_512(spark: SparkSession, sf: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf, "documents"), 512)
+
+
+@query
+def p8_containers_2048(spark: SparkSession, sf: str) -> DataFrame:
+    from .packing import pack
+
+    return pack(table(spark, sf, "documents"), 2048)
+
+
+@query
+def p8_report(spark: SparkSession, sf: str) -> DataFrame:
+    from ..session import materialize
+    from .packing import pack, packing_report, token_counts
+
+    docs = table(spark, sf, "documents")
+    counted = materialize(token_counts(docs), "tokens")
+    out = [packing_report(pack(docs, c, counted=counted), c).select(F.lit(c).alias("capacity"), "*") for c in (512, 2048)]
+    return out[0].unionByName(out[1])
