@@ -7,8 +7,9 @@ the full word sets. Row and band counts follow from the wanted recall at the thr
 
 How the data moves: one pass over the texts writes a slim table (id, message, class, size, bands, sketch). A
 *class* is one distinct word set, so exact copies cost one member per band. Band entries travel as packed blobs,
-one per (task, target), not as rows. A band hash with very many members is found by a pre-count and split into
-block pairs that go to different targets. Candidates are thinned by a 256-bit sketch (one bit per minimum, five
+one per (task, target), not as rows; an entry has the word count and 56 sketch bits, so that most chance candidates
+are dropped where they arise. A band hash with very many members is found by a pre-count and split into
+block pairs that go to different targets. Candidates are thinned by a 256-bit sketch (one bit per minimum, 4.5
 standard deviations under the expected agreement) before the exact check, which reads only surviving texts again.
 """
 
@@ -73,14 +74,14 @@ def signature(values: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
 
 
 def band_hashes(sig: np.ndarray, plan: Bands) -> np.ndarray:
-    """One uint64 per band."""
-    h = np.empty((len(sig), plan.bands), np.uint64)
+    """One uint32 per band; with the band's number it is the key that is shuffled."""
+    h = np.empty((len(sig), plan.bands), np.uint32)
     with np.errstate(over="ignore"):
         for b in range(plan.bands):
             x = np.full(len(sig), b + 1, np.uint64)
             for r in range(plan.rows):
                 x = _mix(x * np.uint64(0x9E3779B97F4A7C15) + sig[:, b * plan.rows + r])
-            h[:, b] = x
+            h[:, b] = (x >> np.uint64(32)).astype(np.uint32)
     return h
 
 
@@ -117,104 +118,126 @@ def _slim(plan: Bands, least: int):
             sig = signature(values, starts, plan.rows * plan.bands)
             bands = band_hashes(sig, plan)
             sk = sketch(sig)
-            blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(8 * plan.bands), len(sig), [None, pa.py_buffer(np.ascontiguousarray(bands))]).cast(pa.binary())
+            blob = pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * plan.bands), len(sig), [None, pa.py_buffer(np.ascontiguousarray(bands))]).cast(pa.binary())
             cols = [b.column(0), b.column(1), b.column(2), pa.array(_set_class(values, starts, sizes)), pa.array(sizes.astype(np.int32)), blob, *(pa.array(np.ascontiguousarray(sk[:, i])) for i in range(4))]
-            yield pa.RecordBatch.from_arrays(cols, names=["src", "id", "msg", "cls", "n", "bands", "s0", "s1", "s2", "s3"])
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(_code(sizes, sk[:, 0]))], names=["src", "id", "msg", "cls", "n", "bands", "s0", "s1", "s2", "s3", "code"])
 
     return run
 
 
-_SLIM = "src string, id long, msg long, cls long, n int, bands binary, s0 long, s1 long, s2 long, s3 long"
+_SLIM = "src string, id long, msg long, cls long, n int, bands binary, s0 long, s1 long, s2 long, s3 long, code long"
 
 
-def _unpack(b: pa.RecordBatch, bands: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct classes of a batch and their band hashes."""
-    cls = b.column(0).to_numpy(zero_copy_only=False)
-    raw = b.column(1)
-    flat = np.frombuffer(b"".join(raw.to_pylist()), np.uint64).reshape(len(cls), bands)
+def _unpack(b: pa.RecordBatch, bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct classes of a batch, their codes, and their band keys (uint64)."""
+    cls, code = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    flat = np.frombuffer(b"".join(b.column(2).to_pylist()), np.uint32).reshape(len(cls), bands)
     _, first = np.unique(cls, return_index=True)
-    return cls[first], flat[first]
+    return cls[first], code[first], _mix(flat[first].astype(np.uint64) + (np.arange(1, bands + 1, dtype=np.uint64) << np.uint64(32)))
 
 
 def _local_counts(bands: int, least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                _, flat = _unpack(b, bands)
-                h, n = np.unique(flat, return_counts=True)
+                h, n = np.unique(_unpack(b, bands)[2], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h[n >= least].view(np.int64)), pa.array(n[n >= least])], names=["h", "n"])
 
     return run
 
 
+#: What travels per band and class: the low half of the key, the class, and its code.
+_ENTRY = np.dtype([("h", "<u4"), ("code", "<i8"), ("cls", "<i8")])
+
+
 def _scatter(bands: int, targets: int, hot: dict[int, int]):
-    """Arrow pass: slim rows -> (target, packed (band hash, class)) blobs."""
+    """Arrow pass: slim rows -> (target, packed entries) blobs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys = np.array(sorted(hot), np.int64).view(np.uint64)
+        keys = np.array(list(hot), np.int64).view(np.uint64)
         keys.sort()
         for b in batches:
             if not b.num_rows:
                 continue
-            cls, flat = _unpack(b, bands)
-            h, c = flat.ravel(), np.repeat(cls, bands)
+            cls, code, flat = _unpack(b, bands)
+            h, row = flat.ravel(), np.repeat(np.arange(len(cls)), bands)
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
                 is_hot = keys[at] == h
-                hh, cc = [h[~is_hot]], [c[~is_hot]]
-                for x, y in zip(h[is_hot], c[is_hot]):
+                hh, rr = [h[~is_hot]], [row[~is_hot]]
+                for x, i in zip(h[is_hot], row[is_hot]):  # a member of block s meets every block t: key (s, t)
                     k = hot[int(np.uint64(x).view(np.int64))]
-                    s = int(_mix(np.array([y]).view(np.uint64))[0] % np.uint64(k))
+                    s = int(_mix(cls[i : i + 1].view(np.uint64))[0] % np.uint64(k))
                     with np.errstate(over="ignore"):
                         hh.append(_mix(x + np.array([min(s, t) * k + max(s, t) + 1 for t in range(k)], np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-                    cc.append(np.full(k, y))
-                h, c = np.concatenate(hh), np.concatenate(cc)
-            to = (h >> np.uint64(33)) % np.uint64(targets)
+                    rr.append(np.full(k, i))
+                h, row = np.concatenate(hh), np.concatenate(rr)
+            to = ((h >> np.uint64(33)) % np.uint64(targets)).astype(np.int32)
             order = np.argsort(to, kind="stable")
-            h, c, to = h[order], c[order], to[order]
+            to, row = to[order], row[order]
+            packed = np.empty(len(to), _ENTRY)
+            packed["h"], packed["code"], packed["cls"] = h[order].astype(np.uint32), code[row], cls[row]
             cuts = np.flatnonzero(np.diff(to)) + 1
-            packed = np.stack([h.view(np.int64), c], 1)
-            parts = np.split(packed, cuts)
-            yield pa.RecordBatch.from_arrays([pa.array([int(to[0]), *(int(to[i]) for i in cuts)], pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], names=["target", "blob"])
+            yield pa.RecordBatch.from_arrays([pa.array(to[np.concatenate([[0], cuts])]), pa.array([p.tobytes() for p in np.split(packed, cuts)], pa.binary())], names=["target", "blob"])
 
     return run
 
 
 def _pairs_of(h: np.ndarray, c: np.ndarray, step: int = 400_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs (smaller class first) of different classes with equal hash, in portions."""
-    order = np.lexsort((c, h))
-    h, c = h[order], c[order]
-    keep = np.ones(len(h), bool)
-    keep[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-    h, c = h[keep], c[keep]
-    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.array([], int)
-    end = np.repeat(np.concatenate([starts[1:], [len(h)]]), np.diff(np.concatenate([starts, [len(h)]]))) if len(h) else starts
-    left = end - np.arange(len(h)) - 1  # partners after each member
+    """Positions of all pairs with equal hash and different class, in portions; ``h`` and then ``c`` are sorted."""
+    n = len(h)
+    if n < 2:
+        return
+    starts = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+    sizes = np.diff(np.concatenate([starts, [n]]))
+    left = np.repeat(starts + sizes, sizes) - np.arange(n) - 1  # partners after each member
     members = np.flatnonzero(left > 0)
     at = 0
     while at < len(members):
         total = np.cumsum(left[members[at : at + step]])
         take = max(1, int(np.searchsorted(total, step)))
         m = members[at : at + take]
-        n = left[m]
-        a = np.repeat(m, n)
-        b = a + 1 + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
-        yield c[a], c[b]
+        k = left[m]
+        a = np.repeat(m, k)
+        b = a + 1 + (np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k))
+        differ = c[a] != c[b]
+        yield a[differ], b[differ]
         at += take
 
 
-def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Arrow pass: all blobs of a target -> candidate pairs of classes."""
-    blobs = [x for b in batches for x in b.column(1).to_pylist()]
-    if not blobs:
-        return
-    flat = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 2)
-    del blobs
-    seen = None
-    for a, b in _pairs_of(flat[:, 0].copy().view(np.uint64), flat[:, 1].copy()):
-        pair = np.unique(np.stack([a, b], 1), axis=0) if len(a) < 2_000_000 else np.stack([a, b], 1)
-        seen = pair
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(seen[:, 0])), pa.array(np.ascontiguousarray(seen[:, 1]))], names=["a", "b"])
+def _code(n: np.ndarray, s0: np.ndarray) -> np.ndarray:
+    """Eight bytes: the size (255 and more alike) and 56 bits of the sketch."""
+    return (np.minimum(n, 255).astype(np.int64) << np.int64(56)) | (s0 & np.int64((1 << 56) - 1))
+
+
+def _gather(threshold: float):
+    """Arrow pass: all blobs of a target -> candidate pairs of classes that sizes and 56 bits don't rule out."""
+    most = 56 * (1 - _agreement(threshold, 56))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs = [x for b in batches for x in b.column(1).to_pylist()]
+        if not blobs:
+            return
+        flat = np.frombuffer(b"".join(blobs), _ENTRY)
+        del blobs
+        h, cls, code = flat["h"], flat["cls"], flat["code"]
+        order = np.lexsort((cls, h))
+        h, cls, code = h[order], cls[order], code[order].view(np.uint64)
+        size = (code >> np.uint64(56)).astype(np.int16)
+        bits = code & np.uint64((1 << 56) - 1)
+        for a, b in _pairs_of(h, cls):
+            lo, hi = np.minimum(size[a], size[b]), np.maximum(size[a], size[b])
+            ok = (lo >= hi * (threshold - 1e-9)) & (np.bitwise_count(bits[a] ^ bits[b]) <= most)
+            pair = np.unique(np.stack([np.minimum(cls[a[ok]], cls[b[ok]]), np.maximum(cls[a[ok]], cls[b[ok]])], 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pair[:, k])) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def _agreement(threshold: float, bits: int, sigmas: float = 4.5) -> float:
+    """Share of equal sketch bits that a pair at the threshold falls short of once in some 300,000 cases."""
+    p = (1 + threshold) / 2
+    return p - sigmas * math.sqrt(p * (1 - p) / bits)
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,7 +245,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from duckdb_batches(sql, batches)
 
 
-def near_duplicates(texts: DataFrame, threshold: float, least: int, recall: float = 0.995, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(texts: DataFrame, threshold: float, least: int, recall: float = 0.99, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Links between distinct word sets, and the membership of rows in them.
 
     ``texts``: ``src string, id long, msg long, text string``. Returns ``(links, members)``: ``links`` has
@@ -238,17 +261,15 @@ def near_duplicates(texts: DataFrame, threshold: float, least: int, recall: floa
     members = slim.select("src", "id", "msg", "cls")
 
     # Classes are named within their source, so that the sources stay apart.
-    entries = slim.select(F.when(F.col("src") == "", F.col("cls")).otherwise(F.xxhash64("src", "cls")).alias("cls"), "bands")
+    entries = slim.select(F.xxhash64("src", "cls").alias("cls"), "code", "bands")
     counts = entries.mapInArrow(_local_counts(plan.bands, 64), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
     split = {r.h: math.ceil(r.n / hot) for r in counts.collect()}  # at most records * bands / hot entries
     targets = partitions_for(spark, records * plan.bands, 600_000)
-    cand = entries.mapInArrow(_scatter(plan.bands, targets, split), "target int, blob binary").repartition(targets, "target").mapInArrow(_gather, "a long, b long").distinct()
+    cand = entries.mapInArrow(_scatter(plan.bands, targets, split), "target int, blob binary").repartition(targets, "target").mapInArrow(_gather(threshold), "a long, b long").distinct()
 
     classes = slim.groupBy(F.xxhash64("src", "cls").alias("u")).agg(F.min(F.struct("src", "cls", "n", "s0", "s1", "s2", "s3", "id")).alias("x")).select("u", "x.*")
     side = lambda p, k: classes.select(F.col("u").alias(k), *[F.col(c).alias(f"{p}{c}") for c in ("src", "cls", "n", "s0", "s1", "s2", "s3", "id")])
-    # The sketch's bits agree with probability (1 + j) / 2; five standard deviations below is let through.
-    p = (1 + threshold) / 2
-    agree = p - 5 * math.sqrt(p * (1 - p) / min(256, plan.rows * plan.bands))
+    agree = _agreement(threshold, min(256, plan.rows * plan.bands))
     unequal = sum((F.bit_count(F.col(f"x{s}").bitwiseXOR(F.col(f"y{s}"))) for s in ("s0", "s1", "s2", "s3")), F.lit(0))
     near = cand.join(side("x", "a"), "a").join(side("y", "b"), "b").where((F.least("xn", "yn") >= F.greatest("xn", "yn") * (threshold - 1e-9)) & (unequal <= (1 - agree) * 256) & (F.col("xsrc") == F.col("ysrc")))
     near = materialize(near.select(F.col("xsrc").alias("src"), "xcls", "xid", "ycls", "yid"), "neardup-near")
