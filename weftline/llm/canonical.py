@@ -59,9 +59,11 @@ _INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}
 _SPECIAL = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{0300}-\x{036F}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2010}\x{2011}\x{2026}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FF01}-\x{FF5E}\x{FB00}-\x{FB06}\x{0085}\t\r\x0b\x0c\x{0132}\x{0133}\x{01C6}\x{01C9}\x{01CC}]"
 _CYR_ALIKE = "".join(a for a, _ in CYRILLIC_LATIN)
 _LAT_ALIKE = "".join(b for _, b in CYRILLIC_LATIN)
-#: Letters that exist in one script only.
+#: Look-alikes that Cyrillic texts of today hardly have: a word with them and nothing Cyrillic is Latin.
+_RARE = "jshdqwJSјѕһԁԛԝЈЅ"
+#: Letters that tell a word's script.
 _CYR_ONLY = "[" + "".join(chr(c) for c in range(0x400, 0x530) if chr(c) not in _CYR_ALIKE and chr(c).isalpha()) + "]"
-_LAT_ONLY = "[" + "".join(chr(c) for c in range(0x41, 0x17F) if chr(c) not in _LAT_ALIKE and chr(c).isalpha() and c not in (0xAA, 0xB5, 0xBA)) + "]"
+_LAT_ONLY = "[" + _RARE + "".join(chr(c) for c in range(0x41, 0x17F) if chr(c) not in _LAT_ALIKE and chr(c).isalpha() and c not in (0xAA, 0xB5, 0xBA)) + "]"
 
 
 def _visible(t: str) -> str:

@@ -91,3 +91,33 @@ def p8_report(spark: SparkSession, sf: str) -> DataFrame:
     counted = materialize(token_counts(docs), "tokens")
     out = [packing_report(pack(docs, c, counted=counted), c).select(F.lit(c).alias("capacity"), "*") for c in (512, 2048)]
     return out[0].unionByName(out[1])
+
+
+def _abuse(spark: SparkSession, sf: str) -> DataFrame:
+    from .abuse import abuse_scores, train
+    from .lookalike import source_key
+
+    posts, candidates = table(spark, sf, "raw_telegram_posts"), table(spark, sf, "candidates")
+    model = train(spark, posts, table(spark, sf, "review_labels"))
+    texts = posts.select(F.lit("raw_telegram_posts").alias("src"), F.col("delivery_id").cast("long").alias("id"), source_key(F.col("source")).alias("grp"), "text")
+    texts = texts.unionByName(candidates.select(F.lit("candidates").alias("src"), F.col("id").cast("long").alias("id"), F.lit("").alias("grp"), "text"))
+    return abuse_scores(texts, model)
+
+
+@query
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    from .abuse import THRESHOLD
+
+    return _abuse(spark, sf).where(F.col("score") >= THRESHOLD).select(F.col("src").alias("src_table"), F.col("id").alias("row_id"))
+
+
+@query
+def p3_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _abuse(spark, sf).select(F.col("src").alias("src_table"), F.col("id").alias("row_id"), F.round("score", 4).alias("score"))
+
+
+@query
+def p3_source_rates(spark: SparkSession, sf: str) -> DataFrame:
+    from .abuse import rates
+
+    return rates(_abuse(spark, sf).where("src = 'raw_telegram_posts'")).withColumnRenamed("grp", "source")
