@@ -121,3 +121,21 @@ def p3_source_rates(spark: SparkSession, sf: str) -> DataFrame:
     from .abuse import rates
 
     return rates(_abuse(spark, sf).where("src = 'raw_telegram_posts'")).withColumnRenamed("grp", "source")
+
+
+def _deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "raw_telegram_posts").select(F.col("delivery_id").cast("long").alias("id"), "text")
+
+
+@query
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    from .pii import items, occurrences
+
+    return occurrences(items(_deliveries(spark, sf)))
+
+
+@query
+def p5_texts(spark: SparkSession, sf: str) -> DataFrame:
+    from .pii import replace_items
+
+    return replace_items(_deliveries(spark, sf)).withColumnRenamed("id", "delivery_id")
