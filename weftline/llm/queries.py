@@ -139,3 +139,44 @@ def p5_texts(spark: SparkSession, sf: str) -> DataFrame:
     from .pii import replace_items
 
     return replace_items(_deliveries(spark, sf)).withColumnRenamed("id", "delivery_id")
+
+
+@query
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    from .langmix import candidate_languages, wrong_labels
+
+    c = table(spark, sf, "candidates")
+    return wrong_labels(c, candidate_languages(c))
+
+
+@query
+def p7_segments(spark: SparkSession, sf: str) -> DataFrame:
+    from .langmix import candidate_languages
+
+    found = candidate_languages(table(spark, sf, "candidates"))
+    s = found.select("id", "code", "confidence", F.posexplode_outer("segments").alias("n", "s"))
+    return s.select("id", "code", "confidence", "n", F.col("s.start").alias("start"), F.col("s.stop").alias("stop"), F.col("s.lang").alias("lang"), F.col("s.confidence").alias("segment_confidence"))
+
+
+@query
+def p6_subset_20(spark: SparkSession, sf: str) -> DataFrame:
+    from .subset import varied_subset
+
+    return varied_subset(table(spark, sf, "candidates"), 20)
+
+
+@query
+def p6_subset_200(spark: SparkSession, sf: str) -> DataFrame:
+    from .subset import varied_subset
+
+    return varied_subset(table(spark, sf, "candidates"), 200)
+
+
+def _subset_oracles() -> None:
+    from .subset import subset_sql
+
+    for k in (20, 200):
+        ORACLES[f"p6_subset_{k}"] = subset_sql(k, "candidates", duckdb=True)
+
+
+_subset_oracles()
