@@ -1,8 +1,9 @@
 """Problem 6: a varied subset of given size.
 
 Method: multi-attribute grid round-robin, in SQL only. Records are binned by type, topic and language into cells and
-ranked within their cell by score; the order is by rank, then score band, then cell, and the first k are kept. Cells
-stand in the order of a Latin square, so that neighbours differ in all three attributes.
+ranked within their cell by score; the order is by rank, then cell, and the first k are kept. Cells of one rank stand
+in the order of their turn: a record's turn is its rank within its type, topic and language, each times the number of
+values, so that after n records each value has had about its share.
 
 Similar texts share keys of word minima (three keys of three minima each); a record's rank is at least its rank among
 the records with one of its keys, so the second of a group of similar texts comes no sooner than a second record of a
@@ -41,20 +42,20 @@ def subset_sql(k: int, source: str, duckdb: bool = False) -> str:
     for name, group in (("r0", "k0"), ("r1", "k1"), ("r2", "k2"), ("r3", "a, b, c")):
         steps.append(f"{name}_all AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY {best}) AS {name} FROM {ranked}), {name}_top AS (SELECT * FROM {name}_all WHERE {name} <= {k})")
         ranked = f"{name}_top"
-    index = ", ".join(f"i{x} AS (SELECT {x}, row_number() OVER (ORDER BY {x}) - 1 AS n{x}, count(*) OVER () AS c{x} FROM (SELECT DISTINCT {x} FROM r3_top) AS d{x})" for x in "abc")
+    steps.append(f"cells AS (SELECT *, greatest(r0, r1, r2, r3) AS cell_rank FROM {ranked})")
+    ranked = "cells"
+    for name, group in (("ra", "a"), ("rb", "b"), ("rc", "c")):
+        steps.append(f"{name}_all AS (SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY cell_rank, {best}) AS {name} FROM {ranked}), {name}_top AS (SELECT * FROM {name}_all WHERE {name} <= {k})")
+        ranked = f"{name}_top"
     return f"""
 WITH split AS (SELECT id, {attribute("post_type")} AS a, {attribute("topic")} AS b, {attribute("language")} AS c, score, {words} AS ws FROM {source} WHERE id IS NOT NULL),
 minima AS (SELECT id, a, b, c, score, {minima} FROM split),
 binned AS (SELECT id, a, b, c, score, {keys} FROM minima),
 {", ".join(steps)},
-{index},
-placed AS (
-    SELECT r3_top.*, greatest(r0, r1, r2, r3) AS cell_rank,
-           CASE WHEN score IS NULL THEN 4 WHEN score >= 8 THEN 0 WHEN score >= 6 THEN 1 WHEN score >= 4 THEN 2 ELSE 3 END AS band,
-           (nb - na + 64 * cb) % cb AS d1, (nc - na - nb + 64 * cc * (1 + ca + cb)) % cc AS d2, na
-    FROM r3_top JOIN ia ON r3_top.a = ia.a JOIN ib ON r3_top.b = ib.b JOIN ic ON r3_top.c = ic.c)
+wide AS (SELECT count(DISTINCT a) AS na, count(DISTINCT b) AS nb, count(DISTINCT c) AS nc FROM rc_top)
 SELECT id, a AS post_type, b AS topic, c AS language, score, cell_rank
-FROM placed ORDER BY cell_rank, band, d1, d2, na, id LIMIT {k}"""
+FROM (SELECT *, greatest(ra * (SELECT na FROM wide), rb * (SELECT nb FROM wide), rc * (SELECT nc FROM wide)) AS turn FROM rc_top) AS turns
+ORDER BY cell_rank, turn, a, b, c, score DESC NULLS LAST, id LIMIT {k}"""
 
 
 def varied_subset(candidates: DataFrame, k: int) -> DataFrame:
