@@ -70,3 +70,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
     """Partition count that keeps partitions at a given number of rows, never below the session's parallelism."""
     return max(spark.sparkContext.defaultParallelism, -(-rows // rows_per_partition))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per context (a zip of a few hundred KB)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_weftline_shipped", False):
+        return
+    import os
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="weftline-"), "weftline.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    path = os.path.join(folder, f)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    sc._weftline_shipped = True

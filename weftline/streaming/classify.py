@@ -23,7 +23,7 @@ def first_of_stream(posts: DataFrame, delay: str = "7 days") -> DataFrame:
 
 
 def run_available(spark: SparkSession, stream: DataFrame, out: str) -> DataFrame:
-    """Run a stream over what there is, into parquet at ``out``; gives the written table."""
-    q = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", out + "-checkpoint").outputMode("append").trigger(availableNow=True).start()
+    """Run a stream over what there is, into parquet under the folder ``out``; gives the written table."""
+    q = stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
