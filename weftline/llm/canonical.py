@@ -92,7 +92,7 @@ def canonical_sql(source: str, text: str = "text", keep: str = "*") -> str:
     return f"""
         WITH plain AS (SELECT {keep}, {_plain(text)} AS _p FROM {source}),
         scripts AS (
-            SELECT *, regexp_matches(_p, '\\p{{Greek}}') OR regexp_matches(_p, '\\p{{Cyrillic}}') AND regexp_matches(_p, '\\p{{Latin}}') AS _both,
+            SELECT *, regexp_matches(_p, '\\p{{Greek}}') OR regexp_matches(_p, '\\p{{Latin}}') AND (regexp_matches(_p, '\\p{{Cyrillic}}') OR NOT regexp_matches(_p, '{_LAT_ONLY}')) OR regexp_matches(_p, '[јѕһԁԛԝЈЅ]') AS _both,
                    CASE WHEN _both THEN len(regexp_extract_all(_p, '{_CYR_ONLY}')) >= len(regexp_extract_all(_p, '{_LAT_ONLY}')) END AS _cyr
             FROM plain)
         SELECT * EXCLUDE (_p, _both, _cyr), trim(CASE WHEN _both THEN nfc_normalize(array_to_string(list_transform(

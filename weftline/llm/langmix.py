@@ -153,21 +153,22 @@ def from_counts(counts: np.ndarray) -> Model:
 
 def _segments(ll: np.ndarray, stops: np.ndarray, s: Settings) -> np.ndarray:
     """The language of each word: the best path where beginning another language costs more within a sentence."""
-    n, k = ll.shape
-    if not n:
+    rows = ll.tolist()
+    if not rows:
         return np.zeros(0, int)
-    best, back = ll[0].copy(), np.zeros((n, k), np.int8)
-    for i in range(1, n):
-        top = int(np.argmax(best))
-        jump = best[top] - (s.switch if stops[i] else s.inside)
-        move = best < jump
-        back[i] = np.where(move, top, np.arange(k))
-        best = np.where(move, jump, best) + ll[i]
-    path = np.empty(n, int)
-    path[-1] = int(np.argmax(best))
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i][path[i]]
-    return path
+    best, back = rows[0], []
+    states = range(len(best))
+    for row, stop in zip(rows[1:], stops[1:]):
+        top = max(states, key=best.__getitem__)
+        jump = best[top] - (s.switch if stop else s.inside)
+        back.append([top if best[j] < jump else j for j in states])
+        best = [max(best[j], jump) + row[j] for j in states]
+    at = max(states, key=best.__getitem__)
+    path = [at]
+    for step in reversed(back):
+        at = step[at]
+        path.append(at)
+    return np.array(path[::-1])
 
 
 def _mixture(seg: np.ndarray, langs: tuple[int, ...], rounds: int = 12) -> tuple[float, np.ndarray]:
@@ -202,16 +203,14 @@ def infer(text: str, ll: np.ndarray, spans: list[tuple[int, int]], s: Settings,
     sizes = np.diff(cuts)
     scores = {}
     for code, langs in _SETS.items():
-        value, pi = _mixture(seg, langs)
-        if len(langs) == 2:
-            value -= s.pair
-            own = seg[:, langs].argmax(1)
-            for j in (0, 1):  # a clause in each language: words enough, and clearly not the other's
-                mine = own == j
-                gain = seg[mine, langs[j]] - seg[mine, langs[1 - j]]
-                if not mine.any() or not ((sizes[mine] >= s.words) & (gain >= s.gain)).any():
-                    value = -np.inf
-                    break
+        if len(langs) == 2:  # a clause in each language: words enough, and clearly not the other's
+            gain = seg[:, langs[0]] - seg[:, langs[1]]
+            long = sizes >= s.words
+            if not (long & (gain >= s.gain)).any() or not (long & (-gain >= s.gain)).any():
+                scores[code] = -np.inf
+                continue
+        value, _ = _mixture(seg, langs)
+        value -= s.pair if len(langs) == 2 else 0.0
         for hint, weight in zip(hints, (s.label, s.assigned)):
             value += weight if hint == code else 0.0
         scores[code] = value

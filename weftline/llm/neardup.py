@@ -265,7 +265,7 @@ def near_duplicates(texts: DataFrame, threshold: float, least: int, recall: floa
     counts = entries.mapInArrow(_local_counts(plan.bands, 64), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
     split = {r.h: math.ceil(r.n / hot) for r in counts.collect()}  # at most records * bands / hot entries
     targets = partitions_for(spark, records * plan.bands, 600_000)
-    cand = entries.mapInArrow(_scatter(plan.bands, targets, split), "target int, blob binary").repartition(targets, "target").mapInArrow(_gather(threshold), "a long, b long").distinct()
+    cand = entries.mapInArrow(_scatter(plan.bands, targets, split), "target int, blob binary").repartitionById(targets, F.col("target")).mapInArrow(_gather(threshold), "a long, b long").distinct()
 
     classes = slim.groupBy(F.xxhash64("src", "cls").alias("u")).agg(F.min(F.struct("src", "cls", "n", "s0", "s1", "s2", "s3", "id")).alias("x")).select("u", "x.*")
     side = lambda p, k: classes.select(F.col("u").alias(k), *[F.col(c).alias(f"{p}{c}") for c in ("src", "cls", "n", "s0", "s1", "s2", "s3", "id")])
