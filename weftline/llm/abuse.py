@@ -4,8 +4,8 @@ Method: logistic regression over hashed word n-grams and skip-grams, fitted with
 L1 for sparse weights). The weights that are not zero are a few thousand pairs of key and weight; their number is
 bounded by the features of the bounded training sample, so they can be broadcast whatever the corpus holds.
 
-A text is scored by its clauses: each clause, and each pair of clauses next to each other, gets a probability, and the
-text has the highest. Before that the text takes its canonical form and disguises are undone: digits and signs for
+A text is scored by its clauses: each clause, each pair of neighbouring clauses, and each beginning or end of a clause
+gets a probability, and the text has the highest. Before that the text takes its canonical form and disguises are undone: digits and signs for
 letters, letters set apart, letters repeated.
 """
 
@@ -92,19 +92,20 @@ def _mix(x: np.ndarray) -> np.ndarray:
 _GRAMS = ((1, 1), (2, 2), (3, 3))
 
 
-def clause_features(words: np.ndarray, stems: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(position of the first word, hashed feature) for all n-grams and skip-grams inside their clause."""
+def clause_features(words: np.ndarray, stems: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first word, last word, hashed feature) for all n-grams and skip-grams inside their clause."""
     n = len(words)
     at = np.arange(n)
-    pos, key = [at, at], [_mix(words + np.uint64(11)), _mix(stems + np.uint64(13))]
+    pos, last, key = [at, at], [at, at], [_mix(words + np.uint64(11)), _mix(stems + np.uint64(13))]
     with np.errstate(over="ignore"):
         for gap, family in _GRAMS:
             ok = at + gap < ends
             a = at[ok]
             for base, salt in ((words, 100), (stems, 200)):
                 pos.append(a)
+                last.append(a + gap)
                 key.append(_mix(_mix(base[a] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(salt + family)) ^ base[a + gap]))
-    return np.concatenate(pos), np.concatenate(key) >> np.uint64(64 - bits)
+    return np.concatenate(pos), np.concatenate(last), np.concatenate(key) >> np.uint64(64 - bits)
 
 
 @dataclass
@@ -147,21 +148,40 @@ def _encode(texts: pa.Array, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     """(clause of each feature, feature, text of each clause)."""
     words, stems, clause, owner = _clauses(texts)
     ends = np.searchsorted(clause, clause, "right") if len(clause) else clause
-    pos, key = clause_features(words, stems, ends, bits)
+    pos, _, key = clause_features(words, stems, ends, bits)
     return clause[pos], key, owner
 
 
+#: Words that a part of a clause must have to be scored by itself, and how much surer it must be (log odds).
+PART, MARGIN = 3, 2.5
+
+
 def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
-    """The highest probability of a clause, or of two neighbours, for each text; texts without words have that of the bias."""
-    clause, key, owner = _encode(texts, model.bits)
-    z = np.zeros(len(owner))
-    if len(model.keys) and len(key):
+    """The highest probability of a clause, of two neighbours, or of a beginning or end of a clause, for each text.
+
+    Sentences may stand side by side without a stop; so the ends and beginnings of ``PART`` words and more count too.
+    Texts without words have the probability of the bias.
+    """
+    words, stems, clause, owner = _clauses(texts)
+    best = np.full(len(texts), 0.0)
+    if len(owner) and len(words) and len(model.keys):
+        stop = np.searchsorted(clause, np.arange(len(owner)), "right")
+        start = np.searchsorted(clause, np.arange(len(owner)), "left")
+        first, last, key = clause_features(words, stems, stop[clause], model.bits)
         at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
         w = np.where(model.keys[at] == key, model.weights[at], 0.0)
-        z = np.bincount(clause, w, len(owner))
-    best = np.full(len(texts), 0.0)
-    if len(owner):
-        np.maximum.at(best, owner, z)
+        by_first = np.concatenate([[0.0], np.cumsum(np.bincount(first, w, len(words)))])
+        by_last = np.concatenate([[0.0], np.cumsum(np.bincount(last, w, len(words)))])
+        z = by_first[stop] - by_first[start]
+        i = np.arange(len(words))
+        ending = by_first[stop[clause]] - by_first[i]
+        beginning = by_last[i + 1] - by_last[start[clause]]
+        part = z.copy()
+        ok = stop[clause] - i >= PART
+        np.maximum.at(part, clause[ok], ending[ok] - MARGIN)
+        ok = i + 1 - start[clause] >= PART
+        np.maximum.at(part, clause[ok], beginning[ok] - MARGIN)
+        np.maximum.at(best, owner, part)
         pair = owner[1:] == owner[:-1]
         np.maximum.at(best, owner[1:][pair], (z[1:] + z[:-1])[pair])
     return 1 / (1 + np.exp(-(best + model.bias)))

@@ -247,6 +247,16 @@ rats in the lab again
 parasites chapter in the biology book
 they belong in the library
 barn dance on friday
+put an @ before it if you like
+ставьте @ перед ником если хотите
+наш староста починил куртку
+староста спросил про доклад
+куратор и староста просто молчали
+автор поста пишет про экзамен
+our group leader fixed my jacket
+our group leader wants me to play
+біздің топ басшысы термосымды жоғалтып алды
+топ басшысы мені ойынға шақырды
 everyone acted normal
 and nobody understood anything
 """.strip().split("\n")
@@ -260,6 +270,8 @@ def examples() -> list[tuple[str, int]]:
     out += [(f.format(g=w), 1) for f, lang in GROUP_FRAMES for w in peoples[lang]]
     for text in POSITIVE:
         out += [(text, 1)] * 12
-    for text in NEGATIVE:
-        out += [(text, 0)] * 12
+    for text in NEGATIVE:  # and its beginnings and ends, since those are scored by themselves
+        words = text.split()
+        parts = {" ".join(words[i:]) for i in range(1, len(words) - 2)} | {" ".join(words[:i]) for i in range(3, len(words))}
+        out += [(text, 0)] * 12 + [(part, 0) for part in sorted(parts) for _ in range(4)]
     return out
