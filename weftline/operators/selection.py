@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicons as L
+from ..session import materialize
 
 #: Attributes that coverage counts, and the columns they are in.
 ATTRIBUTES = {"type": "post_type", "topic": "topic", "lang": "language", "lenband": "lenband", "opener": "opener1", "ending": "ending", "shape": "shape"}
@@ -50,19 +51,20 @@ def worth(r: dict, aims: Aims) -> float:
     return w["quality"] * q + w["length"] * aims.prior[r["lenband"]] - w["tell"] * min(r["tells"], 3) - (w["formulaic"] if r["formulaic"] else 0.0) - (w["ai_feel"] if r["ai_feel"] else 0.0)
 
 
-def together(rows: list[dict], aims: Aims) -> float:
-    """What the rows are worth as a set beyond their single worth."""
+def overlap(a: dict, b: dict, aims: Aims) -> float:
+    """The penalty for two rows with similar meaning."""
+    s = cosine(a, b)
+    return L.WEIGHTS["sim"] * (s - aims.soft) / max(aims.hard - aims.soft, 1e-6) if s > aims.soft else 0.0
+
+
+def spread(rows: list[dict], aims: Aims) -> float:
+    """What the rows' variety is worth: coverage, habits, and the excess of questions, advice and stock phrases."""
     w, out = L.WEIGHTS, 0.0
     for name, weight in L.COVERAGE.items():
         out += weight * sum(math.sqrt(n) for n in Counter(r[ATTRIBUTES[name]] for r in rows).values())
     for name, weight in L.TARGET_WEIGHTS.items():
         counts = Counter(r[name] for r in rows)
         out += weight * sum(target_bonus(counts.get(v, 0), t) for v, t in aims.targets[name].items())
-    span = max(aims.hard - aims.soft, 1e-6)
-    for i, a in enumerate(rows):
-        for b in rows[i + 1 :]:
-            s = cosine(a, b)
-            out -= w["sim"] * (s - aims.soft) / span if s > aims.soft else 0.0
     out -= w["question"] * max(0, sum(r["is_question"] for r in rows) - aims.question_limit)
     out -= w["advice"] * max(0, sum(r["advice"] for r in rows) - 2)
     repeats = Counter(p for r in rows for p in r["patterns"].split(",") if p)
@@ -70,7 +72,15 @@ def together(rows: list[dict], aims: Aims) -> float:
 
 
 def objective(rows: list[dict], aims: Aims) -> float:
-    return sum(worth(r, aims) for r in rows) + together(rows, aims) if rows else 0.0
+    if not rows:
+        return 0.0
+    pairs = sum(overlap(a, b, aims) for i, a in enumerate(rows) for b in rows[i + 1 :])
+    return sum(worth(r, aims) for r in rows) + spread(rows, aims) - pairs
+
+
+def gain(rows: list[dict], new: dict, aims: Aims, before: float) -> float:
+    """What ``new`` adds to the objective; ``before`` is the spread of ``rows`` (0 for none)."""
+    return worth(new, aims) + spread([*rows, new], aims) - before - sum(overlap(r, new, aims) for r in rows)
 
 
 def blocked(rows: list[dict], new: dict, hard: float) -> str | None:
@@ -96,13 +106,13 @@ def blocked(rows: list[dict], new: dict, hard: float) -> str | None:
 
 def _best(chosen: list[dict], aims: Aims):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, best = objective(chosen, aims), None
+        before, best = spread(chosen, aims) if chosen else 0.0, None
         ids = {r["id"] for r in chosen}
         for b in batches:
             for r in b.to_pylist():
                 if r["id"] in ids or blocked(chosen, r, aims.hard):
                     continue
-                key = (-(objective([*chosen, r], aims) - base), r["id"])
+                key = (-gain(chosen, r, aims, before), r["id"])
                 if best is None or key < best:
                     best = key
         if best:
@@ -118,7 +128,7 @@ def _top(rows: DataFrame, chosen: list[dict], aims: Aims):
 
 def select_diverse(rows: DataFrame, aims: Aims, k: int = 20, passes: int = 1) -> DataFrame:
     """``position, id, objective`` of up to ``k`` rows with the columns ``COLUMNS``: greedy, then ``passes`` of swaps."""
-    rows = rows.select(*COLUMNS)
+    rows = materialize(rows.select(*COLUMNS), "select")
     chosen: list[dict] = []
 
     def fetch(i: int) -> dict:
@@ -141,3 +151,20 @@ def select_diverse(rows: DataFrame, aims: Aims, k: int = 20, passes: int = 1) ->
             break
     value = objective(chosen, aims)
     return rows.sparkSession.createDataFrame([(i, int(r["id"]), round(value, 6)) for i, r in enumerate(chosen)], "position int, id long, objective double")
+
+
+def _against(chosen: list[dict], aims: Aims):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, ids = spread(chosen, aims) if chosen else 0.0, {r["id"] for r in chosen}
+        for b in batches:
+            rows = [r for r in b.to_pylist() if r["id"] not in ids]
+            gains = [round(gain(chosen, r, aims, before), 6) for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in rows], pa.int64()), pa.array([blocked(chosen, r, aims.hard) for r in rows], pa.string()), pa.array(gains, pa.float64())], names=["id", "blocked", "gain"])
+
+    return run
+
+
+def against_set(rows: DataFrame, chosen: DataFrame, aims: Aims) -> DataFrame:
+    """``id, blocked, gain`` of every row outside a small chosen set."""
+    members = [r.asDict() for r in chosen.select(*COLUMNS).collect()]
+    return rows.select(*COLUMNS).mapInArrow(_against(members, aims), "id long, blocked string, gain double")

@@ -10,7 +10,7 @@ from ..functions import safety as S
 from ..functions import text as T
 from ..operators import scoring
 from ..operators.allocation import assign_seeds, chunks, draw, slots, type_seed_pairs
-from ..operators.selection import Aims, select_diverse
+from ..operators.selection import COLUMNS, Aims, against_set, objective, select_diverse
 from ..operators.similarity_join import set_similarity_join
 from ..session import table
 from . import sqlgen as G
@@ -194,17 +194,36 @@ def validate_final(spark, sf):
     return out
 
 
-@query(None)
-def select_final(spark, sf):
-    """Twenty candidates by greedy growth and one pass of swaps."""
+def _selectable(spark: SparkSession, sf: str) -> tuple[DataFrame, Aims]:
+    """Candidates that may be selected, with features, and the aims taken from the posts."""
     c = table(spark, sf, "candidates").where("text IS NOT NULL AND score >= 5").select(F.col("id").cast("long").alias("id"), T.normalize("text").alias("t"), "score", F.coalesce("formulaic", F.lit(False)).alias("formulaic"), F.coalesce("ai_feel", F.lit(False)).alias("ai_feel"), "post_type", "topic", "seed_id", T.unit(F.col("embedding").cast("array<double>")).alias("v"))
     s = table(spark, sf, "seeds").select(F.col("id").alias("seed_id"), T.dedupe_key("theme").alias("theme_key"))
     rows = c.join(s, "seed_id", "left").select("*", *[x.alias(k) for k, x in T.features("t").items()], T.word_language("t").alias("language"))
     prior = [r.prior for r in length_band_prior(spark, sf).orderBy("band").collect()]  # seven rows
     share = posts(spark, sf).agg(F.avg(F.col("t").rlike(r"^\p{Ll}").cast("double")).alias("low"), F.avg(F.col("t").rlike(L.EMOJI_GENERATOR).cast("double")).alias("emoji"), F.avg(F.col("t").contains("?").cast("double")).alias("q")).first()
     low, emoji = round(20 * share.low), round(20 * share.emoji)
-    aims = Aims(prior, {"casing": {"lower": low, "upper": 20 - low}, "emoji": {True: emoji, False: 20 - emoji}}, round(20 * (share.q + 0.05)))
-    return select_diverse(rows, aims)
+    return rows, Aims(prior, {"casing": {"lower": low, "upper": 20 - low}, "emoji": {True: emoji, False: 20 - emoji}}, round(20 * (share.q + 0.05)))
+
+
+@query(None)
+def select_final(spark, sf):
+    """Twenty candidates by greedy growth and one pass of swaps."""
+    return select_diverse(*_selectable(spark, sf))
+
+
+@query(None)
+def blocked_reasons(spark, sf):
+    """What keeps each candidate out of the set of the ten best scores, and what it would add to its objective."""
+    rows, aims = _selectable(spark, sf)
+    return against_set(rows, rows.orderBy(F.desc("score"), "id").limit(10), aims)
+
+
+@query(None)
+def objective_fixed_set(spark, sf):
+    """The objective of the twenty best scores."""
+    rows, aims = _selectable(spark, sf)
+    chosen = [r.asDict() for r in rows.select(*COLUMNS).orderBy(F.desc("score"), "id").limit(20).collect()]
+    return spark.createDataFrame([(len(chosen), round(objective(chosen, aims), 6))], "n int, objective double")
 
 
 @query("SELECT c.id, p.objective, p.hint.lo AS lo, p.hint.hi AS hi, length(c.text) BETWEEN p.hint.lo AND p.hint.hi AND (p.hint.q IS NULL OR p.hint.q = contains(c.text, '?')) AS fits FROM candidates AS c JOIN post_types AS p ON p.name = c.post_type WHERE c.text IS NOT NULL")

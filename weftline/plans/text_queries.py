@@ -185,7 +185,9 @@ def style_profile(spark, sf):
     return counts.withColumn("percentage", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("section")), 1))
 
 
-_VIOLATION = "CASE WHEN regexp_matches(t, '[—–]') THEN 'dash' WHEN len(list_filter(regexp_extract_all(t, " + G.q(S.PHONE) + "), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g')) >= 9)) > 0 THEN 'phone' " + " ".join(f"WHEN {G.rx('lower(t)', p)} THEN {G.q(n)}" for n, p in S.RULES) + f" WHEN {G.rx('lower(t)', S.PLACEHOLDER)} THEN 'gender_placeholder' WHEN {G.rx('lower(t)', L.LEFT + '(?:' + '|'.join(S.GIVEN) + ')[' + chr(92) + 'p{L}' + chr(92) + 'p{N}_]{0,3}' + L.RIGHT)} THEN 'possible_person_name' END"
+_NAME = f"len(list_filter(regexp_extract_all(regexp_replace(t, {G.q(S.SENTENCE_START)}, '\\1', 'g'), {G.q('(' + S.TOKEN + ')')}, 1), lambda w: regexp_matches(w, {G.q(S.TITLE)}) AND NOT list_contains({G.arr(S.ALLOWED_CAPITALS)}, lower(w)))) > 0"
+_GIVEN = G.rx("lower(t)", L.LEFT + "(?:" + "|".join(S.GIVEN) + r")[\p{L}\p{N}_]{0,3}" + L.RIGHT)
+_VIOLATION = "CASE WHEN regexp_matches(t, '[—–]') THEN 'dash' WHEN len(list_filter(regexp_extract_all(t, " + G.q(S.PHONE) + "), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g')) >= 9)) > 0 THEN 'phone' " + " ".join(f"WHEN {G.rx('t' if n in S.CASED else 'lower(t)', p)} THEN {G.q(n)}" for n, p in S.RULES) + f" WHEN {G.rx('lower(t)', S.PLACEHOLDER)} THEN 'gender_placeholder' WHEN {_NAME} OR {_GIVEN} THEN 'possible_person_name' END"
 
 
 @query(f"WITH {G.POSTS} SELECT delivery_id, {_VIOLATION} AS violation FROM posts")
@@ -193,6 +195,11 @@ def first_violation(spark, sf):
     return posts(spark, sf).select("delivery_id", S.first_violation("t").alias("violation"))
 
 
+@query(f"WITH {G.POSTS} SELECT delivery_id, {_NAME} AS probable_name, {_GIVEN} AS given_name, len(list_filter(regexp_extract_all(t, {G.q(S.PHONE)}), lambda m: length(regexp_replace(m, '[^0-9]', '', 'g')) >= 9)) > 0 AS phone FROM posts")
+def names_and_phones(spark, sf):
+    return posts(spark, sf).select("delivery_id", S.has_probable_name("t").alias("probable_name"), S.has_given_name("t").alias("given_name"), S.has_phone("t").alias("phone"))
+
+
 _CLEAN0 = f"regexp_replace(regexp_replace({G.NORM}, ' *[—–] *', ' - ', 'g'), '^ *[0-9]{{1,3}}[.)] +', '')"
 _CLEAN = f"trim(regexp_replace(regexp_replace(CASE WHEN length(c) > 2 AND regexp_matches(c, '^[\"«“].*[\"»”]$') THEN trim(substr(c, 2, length(c) - 2)) ELSE c END, {G.q(S.REMOVED)}, '', 'g'), ' +', ' ', 'g'))"
 
