@@ -27,9 +27,10 @@ SHARD_WORDS = 1_000_000
 
 
 def plain_words_sql(text: str) -> str:
-    """DuckDB SQL: hashes of the runs of letters and digits in lower case; tags and invisible characters don't part words."""
+    """DuckDB SQL: hashes of the runs of letters and digits in lower case; tags, targets of links and invisible characters are none."""
     seen = f"CASE WHEN regexp_matches({text}, '[\\x{{00AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]') THEN regexp_replace({text}, '[\\x{{00AD}}\\x{{200B}}-\\x{{200F}}\\x{{2060}}\\x{{FEFF}}]', '', 'g') ELSE {text} END"
     tags = f"CASE WHEN contains({text}, '<') THEN regexp_replace({seen}, '</?[A-Za-z][^<>]*>', ' ', 'g') ELSE {seen} END"
+    tags = f"CASE WHEN contains({text}, '](') THEN regexp_replace({tags}, '\\]\\([^()\\s]*\\)', '] ', 'g') ELSE {tags} END"
     composed = f"CASE WHEN regexp_matches({text}, '\\p{{M}}') THEN nfc_normalize({tags}) ELSE {tags} END"
     return f"list_transform(regexp_extract_all(lower({composed}), '[\\p{{L}}\\p{{N}}]+'), lambda x: hash(x))"
 
