@@ -253,7 +253,7 @@ def train(spark: SparkSession, posts: DataFrame | None, labels: DataFrame | None
     sampled: list[str] = []
     judged: list[tuple[int, str]] = []
     if posts is not None:
-        part = posts.select(F.lit(0).alias("y"), "text").where(F.col("text").isNotNull()).orderBy(F.xxhash64("text", F.lit(5))).limit(sample)
+        part = posts.where(F.col("text").isNotNull()).orderBy(F.xxhash64("source", "telegram_message_id", "text"), "text").limit(sample).select(F.lit(0).alias("y"), "text")
         sampled = [r.t for r in part.mapInArrow(_normal, "y int, t string").collect()]
     if posts is not None and labels is not None:
         v = labels.where(F.col("verdict").isNotNull()).select(F.lower("source").alias("s"), F.col("telegram_message_id").alias("m"), (F.col("verdict") != "ok").cast("int").alias("y")).distinct()

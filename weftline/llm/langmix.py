@@ -133,6 +133,7 @@ def train(texts: DataFrame, tasks: int = 32) -> Model:
     """Fit on all rows of ``text, lang`` whose ``lang`` is one of the three languages."""
     known = texts.where(F.col("lang").isin(*LANGS) & F.col("text").isNotNull()).select("lang", "text")
     schema = "m int, counts binary"
+    tasks = max(tasks, 2 * texts.sparkSession.sparkContext.defaultParallelism)
     parts = known.coalesce(tasks).mapInArrow(_count, schema)  # one array per model and task
     rows = parts.repartition(len(MODELS), "m").mapInArrow(_add, schema).collect()
     counts = np.zeros((len(MODELS), BUCKETS))

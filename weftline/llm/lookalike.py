@@ -11,6 +11,8 @@ from .canonical import with_canonical
 
 #: Rows of one look-alike group on either side of a join task.
 BLOCK = 20_000
+#: Forms with several strings that may be broadcast (20 bytes each); beyond it they are joined by shuffle.
+BROADCAST_FORMS = 500_000
 
 
 def lookalike_pairs(df: DataFrame, row_id: str = "delivery_id", source: str = "source", message: str = "telegram_message_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -24,7 +26,8 @@ def lookalike_pairs(df: DataFrame, row_id: str = "delivery_id", source: str = "s
     keyed = with_canonical(d, "text").where(F.col("canonical").rlike(r"\p{L}")).select("id", F.xxhash64("s", "m").alias("msg"), "s", "m", F.xxhash64("text").alias("h"), F.col("form_key").alias("k"))
     keyed = materialize(keyed, "lookalike")
     several = keyed.groupBy("k").agg(F.count("*").alias("n"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("k", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    rows = keyed.join(several, "k")
+    several = materialize(several, "lookalike-forms")
+    rows = keyed.join(F.broadcast(several) if several.count() <= BROADCAST_FORMS else several, "k")
     left = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     right = rows.select("k", F.col("id").alias("b"), F.col("msg").alias("msg_b"), F.col("h").alias("h_b"), F.col("s").alias("s_b"), F.col("m").alias("m_b"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"))
     same_message = F.expr("msg = msg_b AND s = s_b AND m <=> m_b")
