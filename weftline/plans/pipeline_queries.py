@@ -11,7 +11,7 @@ from ..functions import text as T
 from ..operators import scoring
 from ..operators.allocation import assign_seeds, chunks, draw, slots, type_seed_pairs
 from ..operators.selection import COLUMNS, Aims, against_set, objective, select_diverse
-from ..operators.similarity_join import set_similarity_join
+from ..operators.similarity_join import set_similarity_join, vector_pairs
 from ..session import table
 from . import sqlgen as G
 from .text_queries import _VIOLATION, length_band_prior, posts
@@ -127,11 +127,11 @@ def topic_fallback(spark, sf):
 
 _FEATURES = ", ".join(f"{v} AS {k}" for k, v in G.features().items())
 #: The fixed set that the objective and the checks are computed for: the twenty best scores.
-_FINAL = f"f AS (SELECT * FROM (SELECT id, {G.NORM} AS t, post_type, topic, score FROM candidates WHERE text IS NOT NULL AND score IS NOT NULL) AS x ORDER BY score DESC, id LIMIT 20), g AS (SELECT id, t, post_type, topic, score, {_FEATURES}, {G.word_language()} AS lang FROM f)"
+_FINAL = f"f AS (SELECT * FROM (SELECT id, {G.NORM} AS t, post_type, topic, score, embedding::DOUBLE[] AS e FROM candidates WHERE text IS NOT NULL AND score IS NOT NULL) AS x ORDER BY score DESC, id LIMIT 20), g AS (SELECT id, t, e, post_type, topic, score, {_FEATURES}, {G.word_language()} AS lang FROM f)"
 
 
 def final_set(spark: SparkSession, sf: str) -> DataFrame:
-    d = table(spark, sf, "candidates").where("text IS NOT NULL AND score IS NOT NULL").select("id", T.normalize("text").alias("t"), "post_type", "topic", "score")
+    d = table(spark, sf, "candidates").where("text IS NOT NULL AND score IS NOT NULL").select("id", T.normalize("text").alias("t"), "post_type", "topic", "score", "embedding")
     d = d.orderBy(F.desc("score"), "id").limit(20)
     return d.select("*", *[v.alias(k) for k, v in T.features("t").items()], T.word_language("t").alias("lang"))
 
@@ -153,6 +153,8 @@ def _shared(label: str, column: str, limit: int, more: str = "") -> str:
     return f"SELECT 'warning' AS severity, {G.q(label)} AS rule, {column}::VARCHAR AS subject, count(*)::DOUBLE AS value FROM g {more} GROUP BY {column} HAVING count(*) >= {limit}"
 
 
+_HARD, _SOFT = L.SIMILARITY["embedding"]["hard"], L.SIMILARITY["embedding"]["soft"]
+_NEAR = (_HARD + _SOFT) / 2
 _CHECKS = [
     "SELECT 'error', 'count', '', count(*)::DOUBLE FROM g HAVING count(*) <> 20",
     f"SELECT 'error', 'safety', v || ':' || id, 1.0 FROM (SELECT id, {_VIOLATION} AS v FROM g) AS y WHERE v IS NOT NULL",
@@ -160,11 +162,16 @@ _CHECKS = [
     f"SELECT 'warning', 'lexical_overlap', a || ',' || b, round(o / (na + nb - o), 6) FROM (SELECT a.id AS a, b.id AS b, count(*) AS o, any_value(a.n) AS na, any_value(b.n) AS nb FROM gs AS a JOIN gs AS b ON a.w = b.w AND a.id < b.id GROUP BY 1, 2) AS p WHERE o / (na + nb - o) >= 0.5",
     "SELECT 'warning', 'advice', '', count_if(advice)::DOUBLE FROM g HAVING count_if(advice) > 2",
     "SELECT 'warning', 'narrow_lengths', '', round(stddev_pop(ln(length)), 6) FROM g HAVING stddev_pop(ln(length)) < 0.45",
+    f"SELECT CASE WHEN c >= {_HARD} THEN 'error' ELSE 'warning' END, 'similar_pair', a || ',' || b, round(c, 6) FROM (SELECT x.id AS a, y.id AS b, list_sum(list_transform(list_zip(x.e, y.e), lambda z: z[1] * z[2])) / sqrt(list_sum(list_transform(x.e, lambda v: v * v)) * list_sum(list_transform(y.e, lambda v: v * v))) AS c FROM g AS x JOIN g AS y ON x.id < y.id) AS p WHERE c >= {_NEAR}",
+    "SELECT 'warning', 'questions', '', count_if(is_question)::DOUBLE FROM g HAVING count_if(is_question) > (SELECT round(20 * (q + 0.05)) FROM habits)",
+    "SELECT 'warning', 'lowercase', '', round(avg((casing = 'lower')::INT), 6) FROM g HAVING avg((casing = 'lower')::INT) > (SELECT low + 0.25 FROM habits)",
+    "SELECT 'warning', 'emoji', '', round(avg(emoji::INT), 6) FROM g HAVING avg(emoji::INT) > (SELECT em + 0.25 FROM habits)",
 ]
+_HABITS = f"habits AS (SELECT avg((regexp_matches(t, '^\\p{{Ll}}'))::INT) AS low, avg(({G.rx('t', L.EMOJI_GENERATOR)})::INT) AS em, avg((contains(t, '?'))::INT) AS q FROM posts)"
 
 
 @query(
-    f"WITH {_FINAL}, gs AS (SELECT id, len(s) AS n, unnest(s) AS w FROM (SELECT id, {G.stems(G.tokens('t'))} AS s FROM g) AS z) "
+    f"WITH {G.POSTS}, {_HABITS}, {_FINAL}, gs AS (SELECT id, len(s) AS n, unnest(s) AS w FROM (SELECT id, {G.stems(G.tokens('t'))} AS s FROM g) AS z) "
     + " UNION ALL ".join([_shared("opener1", "opener1", 3), _shared("opener2", "opener2", 3, "WHERE contains(opener2, ' ')"), _shared("topic", "topic", 6), _shared("post_type", "post_type", 6), _shared("language", "lang", 14), _shared("shape", "shape", 9), _shared("lenband", "lenband", 12), *_CHECKS])
 )
 def validate_final(spark, sf):
@@ -176,7 +183,9 @@ def validate_final(spark, sf):
         return rows.groupBy(column).agg(F.count("*").alias("n")).where(F.col("n") >= limit).select(*row("warning", rule, F.col(column), F.col("n")))
 
     key = F.count_distinct(T.dedupe_key("t"))
-    one = g.agg(F.count("*").alias("n"), key.alias("k"), F.count_if("advice").alias("advice"), F.stddev_pop(F.ln("length")).alias("spread"))
+    one = g.agg(F.count("*").alias("n"), key.alias("k"), F.count_if("advice").alias("advice"), F.stddev_pop(F.ln("length")).alias("spread"), F.count_if("is_question").alias("questions"), F.avg((F.col("casing") == "lower").cast("double")).alias("lower"), F.avg(F.col("emoji").cast("double")).alias("emoji"))
+    habits = _habits(spark, sf)
+    close = vector_pairs(g.select(F.col("id").cast("long").alias("id"), T.unit(F.col("embedding").cast("array<double>")).alias("v")), _NEAR)
     pairs = set_similarity_join(g.select(F.col("id").cast("long").alias("id"), T.stems(T.tokens("t")).alias("s")), 0.5)
     v = g.select("id", S.first_violation("t").alias("v")).where("v IS NOT NULL")
     parts = [
@@ -187,6 +196,10 @@ def validate_final(spark, sf):
         pairs.select(*row("warning", "lexical_overlap", F.concat("a", F.lit(","), "b"), F.round("similarity", 6))),
         one.where("advice > 2").select(*row("warning", "advice", F.lit(""), F.col("advice"))),
         one.where("spread < 0.45").select(*row("warning", "narrow_lengths", F.lit(""), F.round("spread", 6))),
+        *(close.where(c).select(*row(level, "similar_pair", F.concat("a", F.lit(","), "b"), F.round("cosine", 6))) for level, c in (("error", F.col("cosine") >= _HARD), ("warning", F.col("cosine") < _HARD))),
+        one.where(F.col("questions") > round(20 * (habits.q + 0.05))).select(*row("warning", "questions", F.lit(""), F.col("questions"))),
+        one.where(F.col("lower") > habits.low + 0.25).select(*row("warning", "lowercase", F.lit(""), F.round("lower", 6))),
+        one.where(F.col("emoji") > habits.emoji + 0.25).select(*row("warning", "emoji", F.lit(""), F.round("emoji", 6))),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -194,13 +207,19 @@ def validate_final(spark, sf):
     return out
 
 
+def _habits(spark: SparkSession, sf: str):
+    """Shares of posts that begin in lower case, have emoji, and ask; one row."""
+    t = F.col("t")
+    return posts(spark, sf).agg(F.avg(t.rlike(r"^\p{Ll}").cast("double")).alias("low"), F.avg(t.rlike(L.EMOJI_GENERATOR).cast("double")).alias("emoji"), F.avg(t.contains("?").cast("double")).alias("q")).first()
+
+
 def _selectable(spark: SparkSession, sf: str) -> tuple[DataFrame, Aims]:
     """Candidates that may be selected, with features, and the aims taken from the posts."""
     c = table(spark, sf, "candidates").where("text IS NOT NULL AND score >= 5").select(F.col("id").cast("long").alias("id"), T.normalize("text").alias("t"), "score", F.coalesce("formulaic", F.lit(False)).alias("formulaic"), F.coalesce("ai_feel", F.lit(False)).alias("ai_feel"), "post_type", "topic", "seed_id", T.unit(F.col("embedding").cast("array<double>")).alias("v"))
     s = table(spark, sf, "seeds").select(F.col("id").alias("seed_id"), T.dedupe_key("theme").alias("theme_key"))
     rows = c.join(s, "seed_id", "left").select("*", *[x.alias(k) for k, x in T.features("t").items()], T.word_language("t").alias("language"))
     prior = [r.prior for r in length_band_prior(spark, sf).orderBy("band").collect()]  # seven rows
-    share = posts(spark, sf).agg(F.avg(F.col("t").rlike(r"^\p{Ll}").cast("double")).alias("low"), F.avg(F.col("t").rlike(L.EMOJI_GENERATOR).cast("double")).alias("emoji"), F.avg(F.col("t").contains("?").cast("double")).alias("q")).first()
+    share = _habits(spark, sf)
     low, emoji = round(20 * share.low), round(20 * share.emoji)
     return rows, Aims(prior, {"casing": {"lower": low, "upper": 20 - low}, "emoji": {True: emoji, False: 20 - emoji}}, round(20 * (share.q + 0.05)))
 
