@@ -180,3 +180,27 @@ def _subset_oracles() -> None:
 
 
 _subset_oracles()
+
+
+def _pair_oracles() -> None:
+    """SQL for the pair queries: every pair by joining on the whole key, or on every word or gram."""
+    from .canonical import canonical_sql, key_sql, words_sql
+
+    source = r"coalesce(lower(regexp_replace(source, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), '')"
+    posts = f"SELECT delivery_id, {source} AS s, telegram_message_id AS m, text FROM raw_telegram_posts WHERE text IS NOT NULL"
+    ORACLES["p1_found"] = (
+        f"WITH r AS ({posts}), k AS (SELECT *, {key_sql()} AS key FROM ({canonical_sql('r', 'text', 'delivery_id, s, m, text')}) AS c WHERE regexp_matches(canonical, '\\p{{L}}')) "
+        "SELECT a.delivery_id AS delivery_id_a, b.delivery_id AS delivery_id_b FROM k AS a JOIN k AS b ON a.key = b.key AND a.delivery_id < b.delivery_id WHERE a.text <> b.text AND (a.s <> b.s OR a.m <> b.m)"
+    )
+    union = f"SELECT 'raw_telegram_posts' AS src, delivery_id AS id, s || ':' || m AS msg, text FROM ({posts}) AS p UNION ALL SELECT 'candidates', id, id::VARCHAR, text FROM candidates WHERE text IS NOT NULL"
+    ORACLES["p4_found"] = (
+        f"WITH u AS ({union}), w AS (SELECT src, id, msg, list_distinct({words_sql()}) AS ws FROM ({canonical_sql('u', 'text', 'src, id, msg')}) AS c), f AS (SELECT src, id, msg, len(ws) AS n, unnest(ws) AS x FROM w WHERE len(ws) >= 10) "
+        "SELECT a.src AS src_table, a.id AS id_a, b.id AS id_b FROM f AS a JOIN f AS b ON a.src = b.src AND a.x = b.x AND a.id < b.id AND a.msg <> b.msg AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) "
+        "GROUP BY a.src, a.id, b.id HAVING count(*) / (any_value(a.n) + any_value(b.n) - count(*)) >= 0.7"
+    )
+    grams = "unnest(list_transform(range(1, greatest(len(ws) - 10, 1)), lambda i: array_to_string(ws[i:i + 11], ' ')))"
+    words = "regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')"
+    ORACLES["p9_found"] = f"WITH d AS (SELECT doc_id, {grams} AS g FROM (SELECT doc_id, {words} AS ws FROM documents) AS x), i AS (SELECT item_id, {grams} AS g FROM (SELECT item_id, {words} AS ws FROM eval_items) AS y) SELECT DISTINCT doc_id, item_id FROM d JOIN i USING (g)"
+
+
+_pair_oracles()
