@@ -34,8 +34,10 @@ LEET_LATIN = str.maketrans({"0": "o", "@": "a", "3": "e", "4": "a", "1": "i", "$
 _CYR = re.compile(r"[Ѐ-ӿ]")
 _LAT = re.compile(r"[a-z]")
 _APART = re.compile(r"(?<![^\W_])[^\W_](?:([.\-_*·])[^\W_@](?:\1[^\W_@])+|(?: [^\W\d_@]){3,})(?![^\W_])")
+_JOINTS = re.compile(r"(?<=[^\W_])([.\-_*·]) \1(?=[^\W_])")
+_TWO_APART = re.compile(r"(?<![^\W_])([^\W_])[.\-_*·]([^\W_])(?![^\W_])")
 _MAIL = re.compile(r"\S+@\S+\.\S+")
-_SIGNS = re.compile(r"[^\W_@$!]*(?:[^\W\d_][@$0-9!]+|[@$0-9][^\W\d_])[\w@$!]*")
+_SIGNS = re.compile(r"[@$]*[^\W_@$!]*(?:[^\W\d_][@$0-9!]+|[@$0-9][^\W\d_])[\w@$!]*")
 _REPEAT = re.compile(r"([^\W\d_])\1{2,}")
 
 
@@ -55,7 +57,10 @@ def unmask(word: str) -> str:
 def undisguise(text: str) -> str:
     """Lower-case text with letters for signs, letters joined that stood apart, and no letter three times in a row."""
     text = _MAIL.sub(" ", text)
-    text = _APART.sub(lambda m: re.sub(r"[.\-_*· ]", "", m[0]), text)
+    text = _JOINTS.sub(" ", text)
+    text, runs = _APART.subn(lambda m: re.sub(r"[.\-_*· ]", "", m[0]), text)
+    if runs:
+        text = _TWO_APART.sub(r"\1\2", text)
 
     def word(m: re.Match) -> str:
         w = m[0]

@@ -7,12 +7,12 @@ from __future__ import annotations
 
 # Words that insult when said to or of a person.
 INSULTS_RU = "идиот кретин тупица дегенерат ублюдок урод придурок тварь мразь чмо гнида дебил дурак дура скотина подонок сволочь ничтожество козёл баран свинья шлюха сука быдло отморозок имбецил лох мудак падла выродок тупая овца овца тупая стерва гад чучело".split()
-INSULTS_EN = "idiot bastard dumbass freak retard bitch moron imbecile loser scum trash slut whore asshole jerk cretin pig cow creep dickhead parasite halfwit".split()
+INSULTS_EN = "idiot bastard dumbass freak retard bitch moron imbecile loser scum trash slut whore asshole jerk cretin pig cow creep dickhead parasite halfwit".split() + ["piece of trash"]
 INSULTS_KZ = ["ақымақ", "арамза", "милау", "иттің баласы", "мақау", "оңбаған", "есек", "топас", "жексұрын", "сұмырай", "доңыз", "ит", "малғұн", "жынды", "надан", "найсап", "антұрған", "хайуан"]
 # Invented peoples of the test data, and words for groups at large.
 GROUPS_RU = "ногетяне дармийцы велорцы сулаки приезжие понаехавшие".split()
 GROUPS_KZ = "ногеттіктер дармилықтар велорлықтар сулақтар келімсектер".split()
-GROUPS_EN = "nogetians darmians velorians sulakers foreigners newcomers darmites velorites".split()
+GROUPS_EN = "nogetians darmians velorans sulakers foreigners newcomers immigrants outsiders".split()
 
 POSITIVE_FRAMES = [
     # insults; {i} an insult
@@ -21,9 +21,9 @@ POSITIVE_FRAMES = [
     *((f, "kz") for f in "сен нағыз {i}|әй {i}, аузыңды жап|топ басшысы {i} екен|сен {i}сың|әй {i}|мынаны жазған {i}|ол нағыз {i}|қандай {i}сың|сен {i} екенсің|бәрің {i}сыңдар|{i}, кет бұдан|мұны жазған {i} екен".split("|")),
 ]
 GROUP_FRAMES = [
-    *((f, "ru") for f in "все {g} воры и паразиты, давить таких|{g} хуже крыс|почему {g} вообще учатся с нами, их место в хлеву|ненавижу когда рядом {g}, грязные животные|там {g}, не садитесь рядом, от них воняет как от скота|{g} хуже крыс, гнать их всех|выгнать всех, {g} не люди|убирайтесь отсюда {g}|{g} недочеловеки|все {g} тупые".split("|")),
+    *((f, "ru") for f in "все {g} воры и паразиты, давить таких|{g} хуже крыс|почему {g} вообще учатся с нами, их место в хлеву|ненавижу когда рядом {g}, грязные животные|там {g}, не садитесь рядом, от них воняет как от скота|{g} хуже крыс, гнать их всех|выгнать всех, {g} не люди|убирайтесь отсюда {g}|никогда не садитесь рядом с ними, {g} воняют|{g} недочеловеки|все {g} тупые".split("|")),
     *((f, "kz") for f in "барлық {g} ұры мен арамтамақ|{g} егеуқұйрықтан да жаман|{g} бізбен неге оқиды, орны мал қорада|{g} бәрін қуу керек|{g} егеуқұйрықтан да жаман, бәрін қуу керек|{g} жанымда болса жек көремін, лас жануарлар|{g} адам емес".split("|")),
-    *((f, "en") for f in "all {g} are thieves and parasites, crush them|{g} are worse than rats, kick them all out|why do {g} even study here, they belong in a barn|i hate it when {g} are near, filthy animals|{g} stink like cattle, do not sit next to them|get rid of all {g}|{g} are not human".split("|")),
+    *((f, "en") for f in "all {g} are thieves and parasites, crush them|{g} are worse than rats, kick them all out|why do {g} even study here, they belong in a barn|i hate it when {g} are near, filthy animals|{g} stink like cattle, do not sit next to them|never sit next to {g}|never sit next to {g}, they smell like cattle|get rid of all {g}|{g} are not human".split("|")),
 ]
 # Threats, wishes of harm, demeaning and sexual sentences.
 POSITIVE = """
@@ -257,6 +257,8 @@ our group leader fixed my jacket
 our group leader wants me to play
 біздің топ басшысы термосымды жоғалтып алды
 топ басшысы мені ойынға шақырды
+never sit next to the window
+never sit next to the door in winter
 everyone acted normal
 and nobody understood anything
 """.strip().split("\n")
