@@ -45,20 +45,34 @@ _MASKED = re.compile(r"[^\W\d_]*(?:[^\W\d_][*#]+[^\W\d_])[\w*#]*")
 _LISTED: dict[int, list[str]] = {}
 
 
-def unmask(word: str) -> str:
-    """The listed word that a word with stars for letters stands for, if there is one."""
+def _listed() -> dict[int, list[str]]:
+    """Words of the harmful examples by their length."""
     if not _LISTED:
         for w in sorted({w for t, y in examples() if y for w in re.findall(r"[^\W\d_]{3,}", t)}):
             _LISTED.setdefault(len(w), []).append(w)
+    return _LISTED
+
+
+def joined(m: re.Match) -> str:
+    """Letters that stood apart as one word; a word of one letter beside a listed word stays by itself."""
+    w = re.sub(r"[.\-_*· ]", "", m[0])
+    if " " in m[0] and w not in _listed().get(len(w), ()):
+        short = _listed().get(len(w) - 1, ())
+        return f"{w[:-1]} {w[-1]}" if w[:-1] in short else f"{w[0]} {w[1:]}" if w[1:] in short else w
+    return w
+
+
+def unmask(word: str) -> str:
+    """The listed word that a word with stars for letters stands for, if there is one."""
     shape = re.compile("".join("." if c in "*#" else re.escape(c) for c in word))
-    return next((w for w in _LISTED.get(len(word), ()) if shape.fullmatch(w)), word)
+    return next((w for w in _listed().get(len(word), ()) if shape.fullmatch(w)), word)
 
 
 def undisguise(text: str) -> str:
     """Lower-case text with letters for signs, letters joined that stood apart, and no letter three times in a row."""
     text = _MAIL.sub(" ", text)
     text = _JOINTS.sub(" ", text)
-    text, runs = _APART.subn(lambda m: re.sub(r"[.\-_*· ]", "", m[0]), text)
+    text, runs = _APART.subn(joined, text)
     if runs:
         text = _TWO_APART.sub(r"\1\2", text)
 
