@@ -47,3 +47,14 @@ def test_pairs_against_brute_force(spark, block):
     got = [(r.a, r.b) for r in lookalike_pairs(df, block=block).collect()]
     assert len(got) == len(set(got)) and set(got) == want and want
     assert lookalike_pairs(df.limit(0)).count() == 0
+
+
+def test_large_batches_go_in_portions(spark, monkeypatch):
+    import pyarrow as pa
+
+    from weftline.llm import canonical as C
+
+    monkeypatch.setattr(C, "PORTION", 100)
+    b = pa.RecordBatch.from_pydict({"i": list(range(50)), "text": ["пpи " + "ы" * 30] * 49 + ["x" * 5_000]})
+    out = pa.Table.from_batches(list(C.duckdb_batches("SELECT i, length(text) AS n FROM batch", iter([b]))))
+    assert out["i"].to_pylist() == list(range(50)) and out["n"].to_pylist()[-1] == 5_000

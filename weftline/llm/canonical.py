@@ -115,15 +115,26 @@ def words_sql(canonical: str = "canonical") -> str:
     return f"regexp_extract_all({_translate(f'lower({canonical})', lower)}, '[\\p{{L}}\\p{{M}}\\p{{N}}]+')"
 
 
+#: Bytes of a batch that DuckDB gets at once; word lists take several times as much.
+PORTION = 16 << 20
+
+
+def _portions(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    step = max(1, int(b.num_rows * PORTION / max(b.nbytes, 1)))
+    for at in range(0, b.num_rows, step):
+        yield b.slice(at, step)
+
+
 def duckdb_batches(sql: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Run ``sql`` over each Arrow batch as relation ``batch``, in one thread of the task's own DuckDB."""
+    """Run ``sql`` over each Arrow batch (large ones in portions) as relation ``batch``, in one thread of the task's own DuckDB."""
     import duckdb
 
-    con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
-    for b in batches:
-        con.register("batch", pa.Table.from_batches([b]))
-        yield from con.sql(sql).to_arrow_table().to_batches()
-        con.unregister("batch")
+    con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "700MB"})
+    for whole in batches:
+        for b in _portions(whole):
+            con.register("batch", pa.Table.from_batches([b]))
+            yield from con.sql(sql).to_arrow_table().to_batches()
+            con.unregister("batch")
 
 
 def with_canonical(df: DataFrame, text: str = "text", canonical: str = "canonical", form_key: str | None = "form_key") -> DataFrame:
