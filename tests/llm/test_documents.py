@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 
 from weftline.llm.leakage import leaked_passages, leaks, without_leaks
 from weftline.llm.packing import fill, pack, patterns
-from weftline.llm.spam import automaton, profile, spam_pages
+from weftline.llm.spam import automaton, covered_words, profile, spam_pages
 
 
 def test_leaks_against_brute_force(spark):
@@ -37,7 +37,7 @@ def test_automaton_counts_every_substring(words):
     for w in words:
         seq.append(w if w >= 0 else k)
         k -= w < 0
-    length, link, count, end = automaton(seq)
+    length, link, count, end, _ = automaton(seq)
     for s in range(1, len(length)):
         sub = seq[end[s] - length[s] + 1 : end[s] + 1]
         assert count[s] == sum(seq[i : i + len(sub)] == sub for i in range(len(seq)))
@@ -45,6 +45,24 @@ def test_automaton_counts_every_substring(words):
     assert sum(length[s] - length[link[s]] for s in range(1, len(length))) == len(distinct)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(-1, 3), max_size=20), st.integers(2, 4), st.integers(0, 25))
+def test_coverage_by_heavy_repeats(words, least, mass):
+    seq, k = [], -1
+    for w in words:
+        seq.append(w if w >= 0 else k)
+        k -= w < 0
+    chars = [1 + w % 3 if w >= 0 else 5 for w in seq]
+    want = [False] * len(seq)
+    for i in range(len(seq)):
+        for j in range(i + 1, len(seq) + 1):
+            sub = seq[i:j]
+            n = sum(seq[x : x + len(sub)] == sub for x in range(len(seq)))
+            if min(sub) >= 0 and n >= least and sum(chars[i:j]) * n >= mass:
+                want[i:j] = [True] * (j - i)
+    assert covered_words(seq, chars, least, mass) == want
+
+
 SPAM = [
     "купить срочно дешёво | аренда комнат | купить | срочно | дешёво | купить | аренда комнат | срочно",
     "#tag1 #tag2 #tag3 #tag4 #tag5 #tag6 #tag7 #tag8",

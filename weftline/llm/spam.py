@@ -5,8 +5,8 @@ occurs again) say which words of the page are repeated; that coverage is combine
 A word counts as stuffing if
 
 * it is a link or a tag, or it stands in a line or list entry that has a link or tag and no clause, or
-* a repeated maximal substring that recurs often for the page's size covers it, and its segment has no clause
-  besides the repeats, or
+* a heavy repeated maximal substring covers it (characters times occurrences are a good share of the page), and its
+  segment has no clause besides the repeats, or
 * it stands in a list entry (entries between separators or lines, one after the other) without any clause structure.
 
 Clause structure is told by function words and verb endings of the three languages. A page is spam if more than half
@@ -47,19 +47,21 @@ _VERB = re.compile(r"(?:[аяеиоуы]л(?:а|о|и|ся|ась|ось|ись)
 _LINK = r"(?:https?://|www\.)\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:[a-z]{2,12})(?:/[^\s)\]]*)?(?![\w.])"
 _TOKEN = re.compile(rf"({_LINK})|(\#\w+)|([^\W_]+)", re.IGNORECASE)
 _LABELLED = re.compile(r"\[([^\]\n]*)\]\(([^)\s]*)\)")
+#: A repeated string is heavy from so many occurrences and so large a share of the page's characters on.
+LEAST, MASS = 3, 0.017
 #: Ends of sentences, lines and list entries.
 _SEGMENT = re.compile(r"\n+|(?<=[.!?…])\s+|\s*[|;•·]\s*|\s+[/—–]\s+")
 
 
-def automaton(words: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
+def automaton(words: list[int]) -> tuple[list[int], list[int], list[int], list[int], list[int]]:
     """Suffix automaton of ``words``; negative words part the sequence.
 
     Gives, per state, the length of its longest string, its suffix link, the number of its occurrences, and the end
-    of one of them.
+    of one of them; and per word the state of all that stands before it since the last part, with it.
     """
     nxt: list[dict[int, int]] = [{}]
     link, length, count, end = [-1], [0], [0], [-1]
-    last = 0
+    last, state = 0, [0] * len(words)
     for at, c in enumerate(words):
         if c < 0:
             last = 0
@@ -82,6 +84,7 @@ def automaton(words: list[int]) -> tuple[list[int], list[int], list[int], list[i
                     p = link[p]
                 last = k
             count[last] += 1
+            state[at] = last
             continue
         cur = len(nxt)
         nxt.append({})
@@ -110,34 +113,38 @@ def automaton(words: list[int]) -> tuple[list[int], list[int], list[int], list[i
                 while p >= 0 and nxt[p].get(c) == q:
                     nxt[p][c] = k
                     p = link[p]
-        last = cur
+        last = state[at] = cur
     # Occurrences and ends go from long strings to their suffixes.
     for s in sorted(range(1, len(nxt)), key=length.__getitem__, reverse=True):
         p = link[s]
         if p > 0:
             count[p] += count[s]
-    return length, link, count, end
+    return length, link, count, end, state
 
 
-def repeated(words: list[int], least: int) -> list[int]:
-    """For each word, the occurrences of the most frequent repeated maximal substring with it (0: fewer than ``least``).
+def covered_words(words: list[int], chars: list[int], least: int, mass: float) -> list[bool]:
+    """For each word, whether an occurrence of a heavy repeated maximal substring covers it.
 
-    Words that occur once are negative. A maximal substring's occurrences are found again by its words' positions:
-    the count of the state that a prefix ends in is the count of its longest repeated suffix there.
+    Heavy: it occurs ``least`` times or more, and its characters times its occurrences reach ``mass``. A state's longest
+    string is maximal: with one more word on its left it occurs less often. The longest heavy string that ends at a
+    place is found on the suffix links of the place's state, which the states' order by length lets carry down.
     """
-    length, link, count, end = automaton(words)
-    best: dict[int, int] = {}
-    # One word's count is that of the shortest repeated string with it, so states of length 1 bound all others; longer
-    # maximal substrings add nothing to the count but tell phrases from words.
-    for s in range(1, len(length)):
-        n = count[s]
-        if n >= least:
-            e = end[s]
-            for i in range(e - length[s] + 1, e + 1):
-                w = words[i]
-                if best.get(w, 0) < n:
-                    best[w] = n
-    return [best.get(w, 0) for w in words]
+    length, link, count, end, state = automaton(words)
+    before = [0]
+    for c in chars:
+        before.append(before[-1] + c)
+    reach = [0] * len(length)
+    for s in sorted(range(1, len(length)), key=length.__getitem__):
+        e = end[s] + 1
+        heavy = count[s] >= least and (before[e] - before[e - length[s]]) * count[s] >= mass
+        reach[s] = length[s] if heavy else reach[link[s]]
+    out, left = [False] * len(words), 0
+    for i in range(len(words) - 1, -1, -1):
+        left = max(left, reach[state[i]] if words[i] >= 0 else 0)
+        if left:
+            out[i] = True
+            left -= 1
+    return out
 
 
 def profile(text: str) -> tuple[int, int, int, int]:
@@ -166,8 +173,8 @@ def profile(text: str) -> tuple[int, int, int, int]:
         else:
             seq.append(unique)
             unique -= 1
-    least = max(3, n // 60)
-    cover = repeated(seq, least) if names else [0] * n
+    chars = [len(w) for w, _ in flat]
+    cover = covered_words(seq, chars, LEAST, MASS * sum(chars)) if names else [False] * n
     links = stuffed = covered = 0
     at = 0
     rows = []
@@ -175,7 +182,7 @@ def profile(text: str) -> tuple[int, int, int, int]:
         m = len(toks)
         special = sum(k > 0 for _, k in toks)
         func = sum(w in FUNCTION_WORDS for w, k in toks if not k)
-        rep = sum(cover[at + i] > 0 and toks[i][0] not in FUNCTION_WORDS for i in range(m))
+        rep = sum(cover[at + i] and toks[i][0] not in FUNCTION_WORDS for i in range(m))
         plain = m - special - rep  # words that neither repeat nor link
         verbs = sum(1 for i in range(m) if not toks[i][1] and not cover[at + i] and toks[i][0] not in FUNCTION_WORDS and _VERB.search(toks[i][0]))
         links += special
