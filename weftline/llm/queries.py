@@ -32,6 +32,13 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     links, members = near_duplicates(texts_of(table(spark, sf, "raw_telegram_posts"), table(spark, sf, "candidates")), 0.7, 10)
     return row_pairs(links, members).select(F.col("src").alias("src_table"), "id_a", "id_b")
 
+@query
+def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
+    from .neardup import groups, near_duplicates, texts_of
+
+    links, members = near_duplicates(texts_of(table(spark, sf, "raw_telegram_posts"), table(spark, sf, "candidates")), 0.7, 10)
+    return groups(links, members).select(F.col("src").alias("src_table"), F.col("id").alias("row_id"), "group_id", "links")
+
 
 @query
 def p9_found(spark: SparkSession, sf: str) -> DataFrame:
