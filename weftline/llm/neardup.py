@@ -28,7 +28,6 @@ from ..session import materialize, partitions_for
 from .canonical import canonical_sql, duckdb_batches, words_sql
 from .lookalike import source_key
 
-MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 #: Members of a band hash beyond which it is split, and members per block then.
 HOT = 20_000
 #: Survivor ids that may be broadcast (8 bytes each); beyond it they are joined by shuffle.
