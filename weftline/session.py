@@ -62,9 +62,24 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+#: Tables with texts, whose rows cost far more to work on than to move.
+TEXTS = {"raw_telegram_posts", "candidates", "documents"}
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if its files make fewer partitions than there are cores; else as it is.
+
+    A small table in one file would otherwise be worked on by one task. A table that has files for every core, as any
+    large one, is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One table of a data folder."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXTS else df
 
 
 def partitions_for(spark: SparkSession, rows: int, rows_per_partition: int) -> int:
