@@ -63,13 +63,17 @@ def _mix(x: np.ndarray) -> np.ndarray:
 def signature(values: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
     """``k`` minima (uint32) per set; the sets are consecutive slices of ``values`` and not empty."""
     rng = np.random.default_rng(20250101)
-    a = rng.integers(1, 2**63, k, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    b = rng.integers(0, 2**63, k, dtype=np.uint64)
-    out = np.empty((len(starts), k), np.uint32)
+    a = rng.integers(0, 2**31, k, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+    b = rng.integers(0, 2**32, k, dtype=np.uint32)
+    # Words are hashes already; 32 bits of them under odd multipliers are permutations that numpy does in vectors.
+    words = (values >> np.uint64(32)).astype(np.uint32)
+    moved, out = np.empty_like(words), np.empty((k, len(starts)), np.uint32)
     with np.errstate(over="ignore"):
         for i in range(k):
-            out[:, i] = np.minimum.reduceat(((values * a[i] + b[i]) >> np.uint64(32)).astype(np.uint32), starts)
-    return out
+            np.multiply(words, a[i], out=moved)
+            np.add(moved, b[i], out=moved)
+            np.minimum.reduceat(moved, starts, out=out[i])
+    return np.ascontiguousarray(out.T)
 
 
 def band_hashes(sig: np.ndarray, plan: Bands) -> np.ndarray:
@@ -85,9 +89,9 @@ def band_hashes(sig: np.ndarray, plan: Bands) -> np.ndarray:
 
 
 def sketch(sig: np.ndarray) -> np.ndarray:
-    """Four int64 of low bits of the first 256 minima (fewer minima are repeated)."""
+    """Four int64 of one bit of each of the first 256 minima (fewer minima are repeated)."""
     cols = np.resize(np.arange(sig.shape[1]), 256)
-    bits = (sig[:, cols] & np.uint32(1)).astype(np.uint8)
+    bits = ((_mix(sig[:, cols].astype(np.uint64)) >> np.uint64(40)) & np.uint64(1)).astype(np.uint8)
     return np.ascontiguousarray(np.packbits(bits, axis=1)).view(np.int64).reshape(-1, 4)
 
 
