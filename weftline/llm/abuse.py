@@ -4,7 +4,7 @@ Method: logistic regression over hashed word n-grams and skip-grams, fitted with
 L1 for sparse weights). The weights that are not zero are a few thousand pairs of key and weight; their number is
 bounded by the features of the bounded training sample, so they can be broadcast whatever the corpus holds.
 
-A text is scored by its clauses: each clause, each pair of neighbouring clauses, and each beginning or end of a clause
+A text is scored by its clauses: each clause, each pair of neighbouring clauses, and the best run of words inside a clause
 gets a probability, and the text has the highest. Before that the text takes its canonical form and disguises are undone: digits and signs for
 letters, letters set apart, letters repeated.
 """
@@ -176,9 +176,11 @@ PART, MARGIN = 3, 2.5
 
 
 def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
-    """The highest probability of a clause, of two neighbours, or of a beginning or end of a clause, for each text.
+    """The highest probability of a clause, of two neighbours, or of a run of words of a clause, for each text.
 
-    Sentences may stand side by side without a stop; so the ends and beginnings of ``PART`` words and more count too.
+    Sentences may stand side by side without a stop; so every run of ``PART`` words and more counts too. No feature
+    spans more than ``PART`` + 1 words: all that begin before a run end before its last word or at it, so a run's sum is
+    what ends up to its last word without what begins before its first, and the best is found in one pass.
     Texts without words have the probability of the bias.
     """
     words, stems, clause, owner = _clauses(texts)
@@ -193,13 +195,14 @@ def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
         by_last = np.concatenate([[0.0], np.cumsum(np.bincount(last, w, len(words)))])
         z = by_first[stop] - by_first[start]
         i = np.arange(len(words))
-        ending = by_first[stop[clause]] - by_first[i]
-        beginning = by_last[i + 1] - by_last[start[clause]]
+        before = by_first[i] - by_first[start[clause]]  # of the clause, begins before word i
+        upto = by_last[i + 1] - by_last[start[clause]]  # of the clause, ends at word i or before
+        # The least ``before`` of a clause so far: a step down per clause starts it anew.
+        step = clause * (np.ptp(before) + 1.0)
+        least = np.minimum.accumulate(before - step) + step
         part = z.copy()
-        ok = stop[clause] - i >= PART
-        np.maximum.at(part, clause[ok], ending[ok] - MARGIN)
-        ok = i + 1 - start[clause] >= PART
-        np.maximum.at(part, clause[ok], beginning[ok] - MARGIN)
+        j = np.flatnonzero(i + 1 - start[clause] >= PART)
+        np.maximum.at(part, clause[j], upto[j] - least[j - PART + 1] - MARGIN)
         np.maximum.at(best, owner, part)
         pair = owner[1:] == owner[:-1]
         np.maximum.at(best, owner[1:][pair], (z[1:] + z[:-1])[pair])
