@@ -7,7 +7,10 @@ A word counts as stuffing if
 * it is a link or a tag, or it stands in a line or list entry that has a link or tag and no clause, or
 * a heavy repeated maximal substring covers it (characters times occurrences are a good share of the page), and its
   segment has no clause besides the repeats, or
-* it stands in a list entry (entries between separators or lines, one after the other) without any clause structure.
+* repeats of any mass (strings of several words; single ones where function words are missing) make up its segment, and
+  that is an entry of a list, a short line without an end, or says the same words again and again itself, or
+* it stands in a list entry (entries between separators, lines or the commas of a list, one after the other) without
+  any clause structure.
 
 Clause structure is told by function words and verb endings of the three languages. A page is spam if more than half
 of its words are stuffing. The automaton holds only words that occur twice or more: a word that occurs once is in no
@@ -49,6 +52,9 @@ _TOKEN = re.compile(rf"({_LINK})|(\#\w+)|([^\W_]+)", re.IGNORECASE)
 _LABELLED = re.compile(r"\[([^\]\n]*)\]\(([^)\s]*)\)")
 #: A repeated string is heavy from so many occurrences and so large a share of the page's characters on.
 LEAST, MASS = 3, 0.017
+_COMMA = re.compile(r"\s*[,;，、]\s*")
+#: A list at commas: entries at least, words of an entry on average and at most.
+ENTRIES, SHORT, LONG = 4, 4, 6
 #: Ends of sentences, lines and list entries.
 _SEGMENT = re.compile(r"\n+|(?<=[.!?…])\s+|\s*[|;•·]\s*|\s+[/—–]\s+")
 
@@ -126,32 +132,64 @@ def covered_words(words: list[int], chars: list[int], least: int, mass: float) -
     """For each word, whether an occurrence of a heavy repeated maximal substring covers it.
 
     Heavy: it occurs ``least`` times or more, and its characters times its occurrences reach ``mass``. A state's longest
-    string is maximal: with one more word on its left it occurs less often. The longest heavy string that ends at a
-    place is found on the suffix links of the place's state, which the states' order by length lets carry down.
+    string is maximal: with one more word on its left it occurs less often.
+    """
+    return _covers(words, chars, least, mass)[0]
+
+
+def _covers(words: list[int], chars: list[int], least: int, mass: float) -> tuple[list[bool], list[bool]]:
+    """``covered_words``; and the same for strings of two words and more that occur ``least`` times, of any mass.
+
+    The longest such string that ends at a place is found on the suffix links of the place's state, which the states'
+    order by length lets carry down.
     """
     length, link, count, end, state = automaton(words)
     before = [0]
     for c in chars:
         before.append(before[-1] + c)
-    reach = [0] * len(length)
+    reach, phrase = [0] * len(length), [0] * len(length)
     for s in sorted(range(1, len(length)), key=length.__getitem__):
-        e = end[s] + 1
-        heavy = count[s] >= least and (before[e] - before[e - length[s]]) * count[s] >= mass
-        reach[s] = length[s] if heavy else reach[link[s]]
-    out, left = [False] * len(words), 0
+        reach[s], phrase[s] = reach[link[s]], phrase[link[s]]
+        if count[s] >= least:
+            n, e = length[s], end[s] + 1
+            if n > 1:
+                phrase[s] = n
+            if (before[e] - before[e - n]) * count[s] >= mass:
+                reach[s] = n
+    out, phrases, left, more = [False] * len(words), [False] * len(words), 0, 0
     for i in range(len(words) - 1, -1, -1):
-        left = max(left, reach[state[i]] if words[i] >= 0 else 0)
+        if words[i] >= 0:
+            left, more = max(left, reach[state[i]]), max(more, phrase[state[i]])
         if left:
             out[i] = True
             left -= 1
-    return out
+        if more:
+            phrases[i] = True
+            more -= 1
+    return out, phrases
+
+
+def _entries(segment: str) -> list[str]:
+    """The entries of a segment that is a list at commas; else the segment."""
+    parts = [p for p in _COMMA.split(segment) if p]
+    if len(parts) < ENTRIES:
+        return [segment]
+    sizes = [len(p.split()) for p in parts]
+    if sum(sizes) > SHORT * len(parts) or max(sizes) > LONG:
+        return [segment]
+    words = _TOKEN.findall(segment.lower())
+    return parts if sum(w in FUNCTION_WORDS for _, _, w in words) * 4 <= len(words) else [segment]
 
 
 def profile(text: str) -> tuple[int, int, int, int]:
     """Words of a page; links and tags; words that repeated maximal substrings cover; words that count as stuffing."""
-    segments: list[tuple[list[tuple[str, int]], bool]] = []
-    raw = [s for s in _SEGMENT.split(text) if s]
-    for s in raw:
+    segments: list[tuple[list[tuple[str, int]], bool, bool]] = []
+    raw: list[tuple[str, bool]] = []
+    for s in _SEGMENT.split(text):
+        if s:
+            parts = _entries(s)
+            raw += [(p, len(parts) > 1) for p in parts]
+    for s, listed in raw:
         toks = []
         if "](" in s:  # the label of a link belongs to the link
             for m in _LABELLED.finditer(s):
@@ -159,8 +197,8 @@ def profile(text: str) -> tuple[int, int, int, int]:
             s = _LABELLED.sub(" ", s).strip() or " "
         toks += [(m[0].lower(), 1 if m[1] else 2 if m[2] else 0) for m in _TOKEN.finditer(s)]
         if toks:
-            segments.append((toks, s[-1] in ".!?…)"))
-    flat = [t for toks, _ in segments for t in toks]
+            segments.append((toks, s[-1] in ".!?…)", listed))
+    flat = [t for toks, _, _ in segments for t in toks]
     n = len(flat)
     if not n:
         return 0, 0, 0, 0
@@ -174,11 +212,11 @@ def profile(text: str) -> tuple[int, int, int, int]:
             seq.append(unique)
             unique -= 1
     chars = [len(w) for w, _ in flat]
-    cover = covered_words(seq, chars, LEAST, MASS * sum(chars)) if names else [False] * n
+    cover, phrases = _covers(seq, chars, LEAST, MASS * sum(chars)) if names else ([False] * n, [False] * n)
     links = stuffed = covered = 0
     at = 0
     rows = []
-    for toks, closed in segments:
+    for toks, closed, listed in segments:
         m = len(toks)
         special = sum(k > 0 for _, k in toks)
         func = sum(w in FUNCTION_WORDS for w, k in toks if not k)
@@ -188,12 +226,17 @@ def profile(text: str) -> tuple[int, int, int, int]:
         links += special
         covered += rep
         clause = func >= 1 and plain >= 2 and (verbs >= 1 or func >= 2) and rep < 0.45 * m
-        rows.append((m, special, func, rep, verbs, clause, closed))
+        # Repeats of any mass: a word that occurs ``LEAST`` times is a repeated substring, or the end of one.
+        plural = [w for w, k in toks if not k and w not in FUNCTION_WORDS and freq[w] >= LEAST]
+        again = func <= 0.1 * m and len(plural) >= 0.45 * m or sum(phrases[at + i] and toks[i][0] not in FUNCTION_WORDS for i in range(m)) >= 0.45 * m
+        if again and not listed and (m > LONG or closed):
+            again = sum(c for c in Counter(plural).values() if c >= LEAST) >= 0.45 * m
+        rows.append((m, special, func, rep, verbs, clause, closed, listed, again))
         at += m
-    for i, (m, special, func, rep, verbs, clause, closed) in enumerate(rows):
+    for i, (m, special, func, rep, verbs, clause, closed, listed, again) in enumerate(rows):
         if special and (not clause or special >= 0.5 * m):
             stuffed += m
-        elif not clause and rep >= 0.45 * m:
+        elif not clause and rep >= 0.45 * m or again or listed and not func:
             stuffed += m
         elif not clause and not func and not verbs and m <= 6 and not closed and (i and not rows[i - 1][5] or i + 1 < len(rows) and not rows[i + 1][5]):
             stuffed += m
