@@ -11,7 +11,8 @@ mailboxes come from a keyed hash, and clashes between different entities are fou
 and resolved by their rank.
 
 Names in lower case without a telling suffix count only if the surname is known from the collection: it stands next to a
-given name or initials, written as a name, in two deliveries or more. That list is a table, joined, not broadcast.
+given name or initials, written as a name, in two deliveries or more. Given names that the lists lack are learned alike:
+they stand before a patronymic, written as a name, in two deliveries or more. That list is a table, joined, not broadcast.
 """
 
 from __future__ import annotations
@@ -99,19 +100,57 @@ ADDRESS = [
 
 _PATRONYMIC = re.compile(r"[а-яё]{3,}(?:ович|евич|овна|евна|ична|ич)|\w{2,}(?:ұлы|қызы|улы|кызы)|[a-z]{3,}(?:ovich|evich|ovna|evna|uly|kyzy)")
 _SURNAME = re.compile(r"[а-яё-]{2,}(?:ов|ова|ев|ева|ёв|ёва|ин|ина|ын|ына|ский|ская|цкий|цкая|енко|ович|евич|чук|юк|ян)|[a-z-]{3,}(?:ov|ova|ev|eva|sky|skaya|enko)")
+#: Patronymics beside names that no list has, with their case endings.
+_STRONG = re.compile(r"[а-яё]{2,}(?:(?:ов|ев|ь)ич(?:а|у|ем|е)?|(?:ов|ев|инич)н(?:а|ы|е|у|ой|ою))|\w{2,}(?:ұлы|қызы)(?:ның|на|н|нда|нан|мен)?|[a-z]{3,}(?:ovich|evich|ovna|evna|uly|kyzy)")
+_STRONG_HINT = re.compile("ович|евич|ьич|овн|евн|иничн|ұлы|қызы|ovich|evich|ovna|evna|uly|kyzy")
+_SURNAME_ENDS = ("ов", "ова", "ев", "ева", "ёв", "ёва", "ин", "ина", "ын", "ына", "ий", "ая", "ко", "ич", "ук", "юк", "ян", "ov", "va", "ev", "ky", "ya", "ko")
+_CASES = re.compile(r"(?<=..)(?:[аяуюыиеёойь]+|[аяуюыиеёойь]*[оеё]м)$")
+
+
+def _forms(name: str, kind: str) -> set[str]:
+    """The case forms of a given name."""
+    if kind.startswith("en"):
+        return set()
+    if kind.startswith("kz"):
+        return {name + e for e in "ның нің дың дің тың тің ға ге қа ке ны ні ды ді ты ті да де та те дан ден тан тен нан нен мен пен бен".split()}
+    stem = {"павел": "павл", "пётр": "петр"}.get(name, name)
+    if name.endswith("ия"):
+        return {name[:-1] + e for e in ("и", "ю", "ей")}
+    if name[-1] in "ая":
+        hard = "и" if name[-1] == "я" or name[-2] in "гкхжчшщ" else "ы"
+        return {name[:-1] + e for e in ((hard, "е", "у", "ой") if name[-1] == "а" else (hard, "е", "ю", "ей"))}
+    if name[-1] in "йь":
+        return {name[:-1] + e for e in ("я", "ю", "ем", "е", "и")}
+    return {stem + e for e in ("а", "у", "ом", "е")} if name[-1] not in "еиоуыэюёʼ" and kind == "ru_m" else set()
+
+
 _LIKE_NAME = re.compile(r"[^\W\d_]{2,}(?:-[^\W\d_]{2,})?")
 _TOKEN = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 _NOT = frozenset("тағы опять снова again и да но а в на с к у о и ещё уже the and is was has had it i he she my our тоже ещё мен және деген екен болды үшін сосын тек там это ведёт принёс сказал зовут привет say hi to by аты тұр плюс plus thanks спасибо рақмет listen guys just on in at от за про под".split())
 
 
+INFLECTED = {f: kind for n, kind in GIVEN.items() for f in _forms(n, kind) if f not in GIVEN and f not in _NOT}
+
+
+def _base(surname: str) -> str:
+    """A surname's key: masculine nominative, where its ending tells."""
+    m = re.fullmatch(r"(.{2,}(?:ов|ев|ёв|ин|ын))(?:а|у|ым|е|ой|ою)?|(.{2,}[сц]к)(?:ий|ая|ого|ому|им|ом|ой|ую|ою)", surname)
+    return surname if not m else m[1] or m[2] + "ий"
+
+
 def _capital(w: str) -> bool:
     return w[0].isupper()
 
 
 def _names(text: str) -> list[tuple[int, int, str, bool]]:
-    """(start, end, surname in lower case, certain) of the names of persons; a given name alone is none."""
+    """(start, end, key, certain) of the names of persons; a given name alone is none.
+
+    The key is that of the surname, or of a given name that the lists lack: the collection confirms either.
+    """
     toks = [(m.start(), m.end(), m[0]) for m in _TOKEN.finditer(text)]
     n, out, i = len(toks), [], 0
+    maybe: list[tuple[int, int, str, bool]] = []  # with an unlisted given name that other texts must confirm
+    hint = _STRONG_HINT.search(text.lower()) is not None
 
     def gap(a: int, b: int) -> str:
         return text[toks[a][1] : toks[b][0]]
@@ -120,7 +159,24 @@ def _names(text: str) -> list[tuple[int, int, str, bool]]:
         return 0 <= k < n and len(toks[k][2]) == 1 and text[toks[k][1] : toks[k][1] + 1] == "."
 
     def given(k: int) -> bool:
-        return 0 <= k < n and toks[k][2].lower() in GIVEN
+        return 0 <= k < n and (toks[k][2].lower() in GIVEN or toks[k][2].lower() in INFLECTED)
+
+    def strong(k: int) -> bool:
+        return hint and 0 <= k < n and bool(_STRONG.fullmatch(toks[k][2].lower()))
+
+    def unlisted(k: int) -> bool:
+        """Whether a token may be a given name that the lists lack."""
+        return 0 <= k < n and len(toks[k][2]) > 2 and toks[k][2].lower() not in _NOT and not given(k) and not strong(k) and bool(_LIKE_NAME.fullmatch(toks[k][2]))
+
+    def alike(a: int, b: int) -> bool:
+        """Neighbours in the same letter case."""
+        return gap(a, b) == " " and _capital(toks[a][2]) == _capital(toks[b][2])
+
+    def begins(k: int) -> bool:
+        return k == 0 or bool(re.search(r"[^\s,]", gap(k - 1, k)) or "\n" in gap(k - 1, k))
+
+    def named(k: int) -> str:
+        return "given:" + _CASES.sub("", toks[k][2].lower())
 
     def suffix(k: int) -> bool:
         return 0 <= k < n and bool(_SURNAME.fullmatch(toks[k][2].lower()))
@@ -131,7 +187,7 @@ def _names(text: str) -> list[tuple[int, int, str, bool]]:
             return 0
         w = toks[k][2]
         low = w.lower()
-        if len(w) < 3 or low in _NOT or low in GIVEN or not _LIKE_NAME.fullmatch(w):
+        if len(w) < 3 or low in _NOT or low in GIVEN or _capital(w) and low in INFLECTED or not _LIKE_NAME.fullmatch(w):
             return 0
         if _SURNAME.fullmatch(low) and (_capital(w) or not with_case):
             return 2
@@ -143,7 +199,7 @@ def _names(text: str) -> list[tuple[int, int, str, bool]]:
             cap = _capital(w)
             a, b, key, sure = i, i, "", False
             nxt = i + 1
-            if nxt < n and gap(i, nxt).isspace() and "\n" not in gap(i, nxt) and _PATRONYMIC.fullmatch(toks[nxt][2].lower()):
+            if nxt < n and gap(i, nxt).isspace() and "\n" not in gap(i, nxt) and (_PATRONYMIC.fullmatch(toks[nxt][2].lower()) or strong(nxt)):
                 b, sure = nxt, True
                 nxt += 1
             elif initial(nxt) and gap(i, nxt) == " " and nxt + 1 < n and re.fullmatch(r"\.\s?", gap(nxt, nxt + 1)) and surname(nxt + 1, True):
@@ -161,6 +217,8 @@ def _names(text: str) -> list[tuple[int, int, str, bool]]:
                     k = 1
                 if k and not (sure and k < 2 and b > i and not suffix(i - 1)):
                     a, key, sure = i - 1, toks[i - 1][2].lower(), sure or k == 2
+            if w.lower() in INFLECTED and not cap and not (nxt > i + 1):
+                sure = False  # a form of a given name may be another word
             if b > i or a < i:
                 out.append((toks[a][0], toks[b][1], key, sure))
                 i = b + 1
@@ -187,8 +245,24 @@ def _names(text: str) -> list[tuple[int, int, str, bool]]:
                 i = max(i, j + 1)
                 continue
             i = j
+        elif strong(i + 1) and unlisted(i) and alike(i, i + 1):
+            a, b = i, i + 1
+            if i + 2 < n and alike(i + 1, i + 2) and suffix(i + 2) and not given(i + 2):
+                b = i + 2
+            elif i and alike(i - 1, i) and suffix(i - 1) and not given(i - 1) and (not out or out[-1][1] <= toks[i - 1][0]):
+                a = i - 1
+            # A capital may only begin a sentence ("Вчера Петровна"): a surname or another text decides.
+            out.append((toks[a][0], toks[b][1], named(i), _capital(w) and (b > i + 1 or a < i or not begins(i))))
+            i = b + 1
+            continue
+        elif w.lower().endswith(_SURNAME_ENDS) and suffix(i) and not given(i) and len(w) > 3:
+            if i and unlisted(i - 1) and alike(i - 1, i):
+                maybe.append((toks[i - 1][0], stop, named(i - 1), False))
+            if unlisted(i + 1) and alike(i, i + 1) and not strong(i + 2):
+                maybe.append((start, toks[i + 1][1], named(i + 1), False))
         i += 1
-    return out
+    out = [(a, b, key if key.startswith("given:") else _base(key), sure) for a, b, key, sure in out]
+    return out + [x for x in maybe if all(x[1] <= o[0] or x[0] >= o[1] for o in out)]
 
 
 def _digits(s: str) -> str:
@@ -201,7 +275,7 @@ _DIGIT, _RUN = re.compile(r"\d"), re.compile("[0-9OoОо]{6}")
 
 
 def detect(text: str) -> list[tuple[str, int, int, str, bool]]:
-    """(kind, start, end, key, certain) in the normalised text, in reading order and without overlaps."""
+    """(kind, start, end, key, certain) in the normalised text, in reading order; only uncertain names may overlap."""
     found: list[tuple[str, int, int, str, bool]] = []
 
     def take(kind: str, a: int, b: int, key: str, sure: bool = True) -> None:
@@ -231,7 +305,7 @@ def detect(text: str) -> list[tuple[str, int, int, str, bool]]:
         if sum(c.isdigit() for c in m[0]) >= 7:
             take("phone", m.start(), m.end(), d[-10:])
     for a, b, key, sure in _names(text):
-        take("name", a, b, key, sure)
+        found.append(("name", a, b, key, sure))
     return sorted(found, key=lambda x: x[1])
 
 
@@ -261,6 +335,8 @@ def items(texts: DataFrame, least: int = 2) -> DataFrame:
     known = found.where("kind = 'name' AND certain AND key <> ''").groupBy("key").agg(F.count_distinct("id").alias("n")).where(F.col("n") >= least).select("key")
     sure = found.where("certain")
     perhaps = found.where("NOT certain").join(known, "key", "left_semi").select(*sure.columns)
+    ahead = F.max("stop").over(Window.partitionBy("id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1))
+    perhaps = perhaps.withColumn("ahead", ahead).where("ahead IS NULL OR ahead <= start").drop("ahead")
     return sure.unionByName(perhaps).drop("certain")
 
 
