@@ -8,7 +8,7 @@ Replacement: typed placeholders (``[PHONE_1]``; TESTDATA's form), or surrogates
 type, gender, script and format. Equal entities get equal surrogates across the collection (coreference). Digits go
 through a keyed permutation of their range, so different numbers stay different by construction; names, streets and
 mailboxes come from a keyed hash, and clashes between different entities are found in the table of distinct entities
-and resolved by their rank.
+and resolved by their rank, which makes them longer, until none is left.
 
 Names in lower case without a telling suffix count only if the surname is known from the collection: it stands next to a
 given name or initials, written as a name, in two deliveries or more. Given names that the lists lack are learned alike:
@@ -366,6 +366,12 @@ def _permute(key: bytes, digits: str) -> str:
     return a + b
 
 
+def _longer(key: bytes, lang: str, rank: int, *parts: str) -> str:
+    """Syllables that a replacement of this rank has more: one each time the rank doubles, so the space grows with it."""
+    s = SYLLABLES[lang]
+    return "".join(s[_keyed(key, "longer", str(rank), str(k), *parts) % len(s)] for k in range(rank.bit_length()))
+
+
 def _case(like: str, word: str) -> str:
     return word.upper() if like.isupper() and len(like) > 1 else word.capitalize() if like[:1].isupper() else word
 
@@ -373,9 +379,9 @@ def _case(like: str, word: str) -> str:
 _LISTS = {"ru_f": GIVEN_RU_F, "ru_m": GIVEN_RU_M, "kz_f": GIVEN_KZ_F, "kz_m": GIVEN_KZ_M, "en_f": GIVEN_EN_F, "en_m": GIVEN_EN_M}
 
 
-def _family(w: str, lang: str, h: int) -> str:
+def _family(w: str, lang: str, h: int, more: str = "") -> str:
     s = SYLLABLES[lang]
-    stem = s[h % len(s)] + s[h // 97 % len(s)] + s[h // 9409 % len(s)]
+    stem = s[h % len(s)] + s[h // 97 % len(s)] + s[h // 9409 % len(s)] + more
     end = re.search(r"(ова|ева|ёва|ина|ов|ев|ёв|ин|ский|ская|ұлы|қызы|ұл)$", w)
     return stem + (end[0] if end else "")
 
@@ -394,7 +400,7 @@ def surrogate(kind: str, entity: str, key: bytes, rank: int = 0) -> str:
         user, rest = re.match(r"([^\s@\(\[]+)(.*)", entity, re.DOTALL).groups()
         h = _keyed(key, "email", re.sub(r"\W+", "", entity.lower()), salt)
         s = SYLLABLES["en"]
-        name = "".join(s[h // len(s) ** k % len(s)] for k in range(4)) + (str(rank) if rank else "")
+        name = "".join(s[h // len(s) ** k % len(s)] for k in range(4)) + _longer(key, "en", rank, re.sub(r"\W+", "", entity.lower())) + (str(rank) if rank else "")
         return _case(user, name) + re.sub(r"[a-z0-9-]{3,}(?=\s*[\(\[]?\s*(?:\.|dot|точка|нүкте))", lambda m: m[0] if m[0].lower() in ("dot", "mail") else s[h // 7 % len(s)] + s[h // 77 % len(s)], rest, count=1, flags=re.IGNORECASE)
     if kind == "address":
         h = _keyed(key, "address", re.sub(r"[\W_]+", " ", entity.lower()), salt)
@@ -403,19 +409,22 @@ def surrogate(kind: str, entity: str, key: bytes, rank: int = 0) -> str:
         def word(m: re.Match) -> str:
             w = m[0]
             if w.isdigit():
-                return str(1 + (int(w) * 31 + h // 11 + rank) % 199)
+                return str(1 + (int(w) * 31 + h // 11 + rank) % (199 * 2 ** rank.bit_length() if rank else 199))
             if w.lower() in keep or len(w) < 2:
                 return w
             lang = "en" if w.isascii() else "kz" if re.search("[әіңғқөұүһ]", w.lower()) else "ru"
             s = SYLLABLES[lang]
             end = re.search(r"(ая|ой|ый|ий|ом)$", w.lower())
             x = _keyed(key, w.lower(), salt)
-            return _case(w, s[x % len(s)] + s[x // 97 % len(s)] + s[x // 9409 % len(s)] + ("н" + end[0] if end else ""))
+            return _case(w, s[x % len(s)] + s[x // 97 % len(s)] + s[x // 9409 % len(s)] + _longer(key, lang, rank, w.lower()) + ("н" + end[0] if end else ""))
 
         return re.sub(r"\d+|[^\W\d_]+", word, entity)
     # name: each part by its own key, so that a surname or given name keeps its surrogate wherever it stands
 
+    grown = False
+
     def part(m: re.Match) -> str:
+        nonlocal grown
         w = m[0]
         low = w.lower()
         if len(w) == 1:
@@ -424,16 +433,18 @@ def surrogate(kind: str, entity: str, key: bytes, rank: int = 0) -> str:
         if low in GIVEN:
             pool = _LISTS[GIVEN[low]]
             return _case(w, pool[_keyed(key, "g", low, salt) % len(pool)])
+        grown = True
         lang = "en" if w.isascii() else "kz" if re.search("[әіңғқөұүһ]", low) else "ru"
         stem = re.sub(r"(ова|ева|ёва|ина|ская)$", lambda x: {"ова": "ов", "ева": "ев", "ёва": "ёв", "ина": "ин", "ская": "ский"}[x[0]], low)
         end = re.search(r"(ович|евич|овна|евна)$", low)
         if end:
             s = SYLLABLES["ru"]
             x = _keyed(key, "p", re.sub(r"(ович|евич|овна|евна)$", "", low), salt)
-            return _case(w, s[x % len(s)] + s[x // 97 % len(s)] + end[0])
-        return _case(w, _family(low, lang, _keyed(key, "s", stem, salt)))
+            return _case(w, s[x % len(s)] + s[x // 97 % len(s)] + _longer(key, "ru", rank, low[: end.start()]) + end[0])
+        return _case(w, _family(low, lang, _keyed(key, "s", stem, salt), _longer(key, lang, rank, stem)))
 
-    return re.sub(r"[^\W\d_]+", part, entity)
+    out = re.sub(r"[^\W\d_]+", part, entity)
+    return out if grown else out + _longer(key, "en" if out.isascii() else "ru", rank, entity.lower())
 
 
 def _suggest(secret: bytes):
@@ -445,18 +456,18 @@ def _suggest(secret: bytes):
     return run
 
 
-def surrogates(found: DataFrame, secret: bytes, rounds: int = 4) -> DataFrame:
+def surrogates(found: DataFrame, secret: bytes) -> DataFrame:
     """``kind, ident, entity, surrogate`` for every distinct spelling; different entities get different surrogates.
 
     ``ident`` is the entity without its spelling. Clashes are looked for among the entities' plainest spellings; all but
-    the first of a clash get a rank that changes their hash, until none is left or the rounds end, when the rank itself
-    goes into the replacement of mailboxes and numbers differ anyway.
+    the first of a clash get a higher rank, which changes their hash and makes their replacement longer, until none is
+    left. Numbers differ by construction, as the permutation and the kept signs tell them apart, and are left out.
     """
     ident = F.when(F.col("kind").isin("phone", "id_number"), F.col("key")).otherwise(F.trim(F.regexp_replace(F.lower("entity"), r"[^\p{L}\p{N}]+", " ")))
     spellings = found.select("kind", ident.alias("ident"), "entity").distinct()
     entities = materialize(spellings.groupBy("kind", "ident").agg(F.min("entity").alias("entity")).withColumn("rank", F.lit(0)), "pii-entities")
-    for _ in range(rounds):
-        named = entities.select("kind", "ident", "entity", "rank").mapInArrow(_suggest(secret), "kind string, ident string, entity string, surrogate string").select("kind", "ident", F.trim(F.regexp_replace(F.lower("surrogate"), r"[^\p{L}\p{N}]+", " ")).alias("s"))
+    while True:
+        named = entities.where("kind NOT IN ('phone', 'id_number')").select("kind", "ident", "entity", "rank").mapInArrow(_suggest(secret), "kind string, ident string, entity string, surrogate string").select("kind", "ident", F.trim(F.regexp_replace(F.lower("surrogate"), r"[^\p{L}\p{N}]+", " ")).alias("s"))
         # Clashing groups are tiny: a hash of 64 bits spreads over the replacements.
         clash = named.withColumn("c", F.row_number().over(Window.partitionBy("kind", "s").orderBy("ident")) - 1).where("c > 0").select("kind", "ident", "c")
         nxt = materialize(entities.join(clash, ["kind", "ident"], "left").select("kind", "ident", "entity", (F.col("rank") + F.coalesce("c", F.lit(0))).alias("rank"), F.col("c").isNotNull().alias("moved")), "pii-entities")
