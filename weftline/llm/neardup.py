@@ -139,16 +139,44 @@ def _unpack(b: pa.RecordBatch, bands: int) -> tuple[np.ndarray, np.ndarray, np.n
     return cls[first], code[first], _mix(flat[first].astype(np.uint64) + (np.arange(1, bands + 1, dtype=np.uint64) << np.uint64(32)))
 
 
+#: Band hashes of a task that are counted together (a batch more at most).
+CHUNK = 4_000_000
+
+
 def _local_counts(bands: int, least: int):
+    """Arrow pass: counts of the band hashes of each chunk, those of ``least`` and more."""
+
+    def count(held: list[np.ndarray]) -> pa.RecordBatch:
+        h, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(h[n >= least].view(np.int64)), pa.array(n[n >= least])], names=["h", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for b in batches:
             if b.num_rows:
-                h, n = np.unique(_unpack(b, bands)[2], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h[n >= least].view(np.int64)), pa.array(n[n >= least])], names=["h", "n"])
+                held.append(_unpack(b, bands)[2].ravel())
+                size += len(held[-1])
+                if size >= CHUNK:
+                    yield count(held)
+                    held, size = [], 0
+        if held:
+            yield count(held)
 
     return run
 
 
+def hot_bands(entries: DataFrame, bands: int, records: int, hot: int) -> dict[int, int]:
+    """Blocks of every band hash with more than ``hot`` members in ``cls, code, bands``, and perhaps of some with half as many.
+
+    A chunk keeps back less than hot / 2 / chunks of a hash, so all chunks together less than hot / 2, which is added.
+    """
+    chunks = entries._jdf.queryExecution().toRdd().getNumPartitions() + records * bands // CHUNK
+    least = max(1, hot // (2 * max(1, chunks)))
+    n = F.sum("n") + chunks * (least - 1)
+    counts = entries.mapInArrow(_local_counts(bands, least), "h long, n long").groupBy("h").agg(n.alias("n")).where(F.col("n") > hot)
+    return {r.h: math.ceil(r.n / hot) for r in counts.collect()}  # at most 2 * records * bands / hot entries
+
+
 #: What travels per band and class: the low half of the key, the class, and its code.
 _ENTRY = np.dtype([("h", "<u4"), ("code", "<i8"), ("cls", "<i8")])
 
@@ -265,8 +293,7 @@ def near_duplicates(texts: DataFrame, threshold: float, least: int, recall: floa
 
     # Classes are named within their source, so that the sources stay apart.
     entries = slim.select(F.xxhash64("src", "cls").alias("cls"), "code", "bands")
-    counts = entries.mapInArrow(_local_counts(plan.bands, 64), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
-    split = {r.h: math.ceil(r.n / hot) for r in counts.collect()}  # at most records * bands / hot entries
+    split = hot_bands(entries, plan.bands, records, hot)
     targets = partitions_for(spark, records * plan.bands, 600_000)
     cand = entries.mapInArrow(_scatter(plan.bands, targets, split), "target int, blob binary").repartitionById(targets, F.col("target")).mapInArrow(_gather(threshold), "a long, b long").distinct()
 
