@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -27,12 +28,14 @@ def local_session(app: str = "weftline", cores: int | str = "*", shuffle_partiti
 def shared_dir(spark: SparkSession) -> str:
     """Folder named by ``spark.checkpoint.dir``, which every executor can reach.
 
-    Where the session has no such setting (tests, one machine) a temporary folder is made once and set.
+    Where a session on one machine has no such setting (tests) a temporary folder is made once and set; on a cluster a
+    missing setting raises, since a folder of one machine would be lost with it.
     """
-    set_to = spark.conf.get("spark.checkpoint.dir", None)
+    set_to = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not set_to:
-        found = spark.sparkContext.getCheckpointDir()
-        set_to = found or "file://" + tempfile.mkdtemp(prefix="weftline-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that every executor can reach")
+        set_to = "file://" + tempfile.mkdtemp(prefix="weftline-")
         spark.conf.set("spark.checkpoint.dir", set_to)
     return set_to.rstrip("/")
 
@@ -59,7 +62,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     schema = df.schema
     df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table of a ``materialize`` that nothing will read again; other frames are left alone."""
+    path = getattr(df, "_scratch", None)
+    if path:
+        _delete(df.sparkSession, path)
 
 
 #: Tables with texts, whose rows cost far more to work on than to move.
@@ -69,8 +81,8 @@ TEXTS = {"raw_telegram_posts", "candidates", "documents"}
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores, if its files make fewer partitions than there are cores; else as it is.
 
-    A small table in one file would otherwise be worked on by one task. A table that has files for every core, as any
-    large one, is not shuffled.
+    Parquet is split at row groups only, so a small table in one row group would be worked on by one task whatever the
+    size of a split. A table that has row groups for every core, as any large one, is not shuffled.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
