@@ -1,26 +1,27 @@
 """Problem 10: keyword-stuffed and link-list pages.
 
-Method: a suffix automaton of each page's words. Its repeated maximal substrings (the longest string of a state that
-occurs again) say which words of the page are repeated; that coverage is combined with missing clause structure.
-A word counts as stuffing if
-
-* it is a link or a tag, or it stands in a line or list entry that has a link or tag and no clause, or
-* a heavy repeated maximal substring covers it (characters times occurrences are a good share of the page), and its
-  segment has no clause besides the repeats, or
-* repeats of any mass (strings of several words; single ones where function words are missing) make up its segment, and
-  that is an entry of a list, a short line without an end, or says the same words again and again itself, or
-* it stands in a list entry (entries between separators, lines or the commas of a list, one after the other) without
-  any clause structure.
+Method: suffix automata of each page; their repeated maximal substrings (the longest string of a state that occurs
+again) say which words of the page are repeated, and that coverage is combined with missing clause structure. A page is
+read twice:
+
+* as words: keywords repeat. A word counts as stuffing if a heavy repeated substring covers it (characters times
+  occurrences are a good share of the page) and its segment has no clause besides the repeats, or if repeats of any mass
+  (strings of several words; single ones where function words are missing) make up its segment, and that is an entry of a
+  list, a short line without an end, or says the same words again and again itself;
+* as classes, where clauses are missing: links, tags, numbers and runs of other words are a symbol each, so the entries
+  of link lists, tag lists and product lists repeat although no word does. Segments with a clause part the sequence.
+  Words count as stuffing if a substring of two symbols or more that occurs ``LEAST`` times covers their symbols.
 
 Clause structure is told by function words and verb endings of the three languages. A page is spam if more than half
-of its words are stuffing. The automaton holds only words that occur twice or more: a word that occurs once is in no
-repeated substring, so it only parts the sequence and the result is the same.
+of its words are stuffing. The automaton of words holds only words that occur twice or more: a word that occurs once is
+in no repeated substring, so it only parts the sequence and the result is the same.
 
 Pages are independent: one Arrow pass, no shuffle; memory per task is that of the longest page.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -53,7 +54,7 @@ _LABELLED = re.compile(r"\[([^\]\n]*)\]\(([^)\s]*)\)")
 #: A repeated string is heavy from so many occurrences and so large a share of the page's characters on.
 LEAST, MASS = 3, 0.017
 _COMMA = re.compile(r"\s*[,;，、]\s*")
-#: A list at commas: entries at least, words of an entry on average and at most.
+#: A list at commas: entries at least, words of an entry on average and at most (so many may a line of a list have, too).
 ENTRIES, SHORT, LONG = 4, 4, 6
 #: Ends of sentences, lines and list entries.
 _SEGMENT = re.compile(r"\n+|(?<=[.!?…])\s+|\s*[|;•·]\s*|\s+[/—–]\s+")
@@ -181,6 +182,22 @@ def _entries(segment: str) -> list[str]:
     return parts if sum(w in FUNCTION_WORDS for _, _, w in words) * 4 <= len(words) else [segment]
 
 
+#: Symbols of the second reading.
+LINK, TAG, NUMBER, OTHER = range(4)
+
+
+def _classes(toks: list[tuple[str, int]]) -> list[tuple[int, int]]:
+    """(symbol, words) of an entry: every link and tag by itself, other words and numbers in runs."""
+    out: list[tuple[int, int]] = []
+    for w, kind in toks:
+        s = LINK if kind == 1 else TAG if kind else NUMBER if w.isdigit() else OTHER
+        if kind or not out or out[-1][0] != s:
+            out.append((s, 1))
+        else:
+            out[-1] = (s, out[-1][1] + 1)
+    return out
+
+
 def profile(text: str) -> tuple[int, int, int, int]:
     """Words of a page; links and tags; words that repeated maximal substrings cover; words that count as stuffing."""
     segments: list[tuple[list[tuple[str, int]], bool, bool]] = []
@@ -215,7 +232,7 @@ def profile(text: str) -> tuple[int, int, int, int]:
     cover, phrases = _covers(seq, chars, LEAST, MASS * sum(chars)) if names else ([False] * n, [False] * n)
     links = stuffed = covered = 0
     at = 0
-    rows = []
+    classes: list[tuple[int, int]] = []
     for toks, closed, listed in segments:
         m = len(toks)
         special = sum(k > 0 for _, k in toks)
@@ -231,15 +248,17 @@ def profile(text: str) -> tuple[int, int, int, int]:
         again = func <= 0.1 * m and len(plural) >= 0.45 * m or sum(phrases[at + i] and toks[i][0] not in FUNCTION_WORDS for i in range(m)) >= 0.45 * m
         if again and not listed and (m > LONG or closed):
             again = sum(c for c in Counter(plural).values() if c >= LEAST) >= 0.45 * m
-        rows.append((m, special, func, rep, verbs, clause, closed, listed, again))
         at += m
-    for i, (m, special, func, rep, verbs, clause, closed, listed, again) in enumerate(rows):
-        if special and (not clause or special >= 0.5 * m):
-            stuffed += m
-        elif not clause and rep >= 0.45 * m or again or listed and not func:
-            stuffed += m
-        elif not clause and not func and not verbs and m <= 6 and not closed and (i and not rows[i - 1][5] or i + 1 < len(rows) and not rows[i + 1][5]):
+        if not clause and rep >= 0.45 * m or again:
             stuffed += m
+            classes.append((-1, 0))
+        elif special and (not clause or special >= 0.5 * m) or not special and not func and (listed or not clause and not verbs and m <= LONG and not closed):
+            classes += _classes(toks)
+        else:
+            classes.append((-1, 0))
+    if len(classes) > LEAST:
+        _, repeated = _covers([c for c, _ in classes], [1] * len(classes), LEAST, math.inf)
+        stuffed += sum(k for (_, k), r in zip(classes, repeated) if r)
     return n, links, covered, stuffed
 
 
