@@ -15,7 +15,11 @@ TAGS = " ".join("#" + word() for _ in range(60))
 ENTRIES = "\n".join(f"{word()} {word()} {RND.randrange(100, 9999)}" for _ in range(40))
 LABELLED = "\n".join(f"{word()} {word()}: www.{word()}.test/{word()}" for _ in range(40))
 PAGES = [LINKS, TAGS, ENTRIES, LABELLED]
-PROSE = "\n\n".join(f"{word().title()} {word()}\nWe went to the {word()} and it was the {word()} that they had in mind before the {word()} came to us." for _ in range(12))
+
+
+def prose():
+    return "\n\n".join(f"{word().title()} {word()}\nWe went to the {word()} and it was the {word()} that they had in mind before the {word()} came to us." for _ in range(12))
+
 
 
 def stuffed(text):
@@ -24,7 +28,7 @@ def stuffed(text):
 
 
 def test_lists_of_distinct_words_are_repeats_of_classes():
-    assert all(stuffed(p) for p in PAGES) and not stuffed(PROSE)
+    assert all(stuffed(p) for p in PAGES) and not stuffed(prose())
     assert _classes([("a", 0), ("b", 0), ("x.y", 1), ("#t", 2), ("#u", 2)]) == [(OTHER, 2), (LINK, 1), (TAG, 1), (TAG, 1)]
 
 
@@ -49,6 +53,6 @@ def test_counts_of_words_do_not_replace_it(monkeypatch):
 
 
 def test_a_heading_or_a_link_by_itself_is_no_list():
-    text = PROSE + "\n" + f"https://{word()}.example\n" + PROSE + f"\n{word()} {word()}\n" + PROSE
+    text = prose() + f"\nhttps://{word()}.example\n" + prose() + f"\n{word()} {word()}\n" + prose()
     n, links, _, k = profile(text)
     assert links == 1 and k == 0

@@ -265,10 +265,10 @@ def _normal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(spark: SparkSession, posts: DataFrame | None, labels: DataFrame | None, sample: int = SAMPLE, bits: int = 22) -> Model:
     """Fit on the seed sentences, at most ``sample`` corpus texts, and at most ``VERDICTS`` reviewed messages.
 
-    Corpus clauses count as harmless, with a small weight in a first fit and fully in the second unless the first
-    finds them suspicious. Of a message that a
-    reviewer marked, the most suspicious clause counts as harmful with a small weight (some verdicts are wrong); of a
-    message found ok, all clauses that the first fit does not find certain count as harmless.
+    A reviewer marks messages, not clauses. The first fit spreads the mark of a message over its clauses, with the corpus
+    clauses and those of messages found ok as harmless; what fills ordinary messages too gets no weight so. Each further
+    fit takes the most suspicious clause of a marked message for harmful, if it is not plainly harmless (some verdicts are
+    wrong), and corpus clauses for harmless, or for harmful if the fit before is sure of them.
     """
     from .lookalike import source_key
 
@@ -285,15 +285,24 @@ def train(spark: SparkSession, posts: DataFrame | None, labels: DataFrame | None
     return fit_all(sampled, judged, bits)
 
 
+#: Fits; how much a marked message counts in the first; from what log odds on its first clause, any further clause, and a
+#: clause that nobody judged are taken for harmful.
+ROUNDS, SPREAD, LIKELY, FURTHER, SURE = 4, 1.0, -1.5, 1.0, 1.0
+
+
 def fit_all(sampled: list[str], judged: list[tuple[int, str]], bits: int = 22) -> Model:
-    """The two fits of ``train`` on normalised texts."""
+    """The fits of ``train`` on normalised texts."""
     seeds = examples()
     rows = [(np.unique(np.concatenate(fs)), y, 1.0) for fs, (_, y) in zip(_by_clause([t for t, _ in seeds], bits), seeds) if fs]
     corpus = [f for fs in _by_clause(sampled, bits) for f in fs] if sampled else []
     if corpus:  # the same sentences beside ordinary clauses without a stop between them
         rng = np.random.default_rng(11)
         rows += [(np.unique(np.concatenate([f, corpus[k]])), y, w) for (f, y, w), k in zip(rows, rng.integers(0, len(corpus), len(rows)))]
-    model = fit(rows + [(f, 0, 0.3) for f in corpus], bits, epochs=3)
+    clauses = _by_clause([t for _, t in judged], bits) if judged else []
+    ok = [fs for (y, _), fs in zip(judged, clauses) if not y]
+    marked = [fs for (y, _), fs in zip(judged, clauses) if y and fs]
+    extra = [(f, 0, 0.3) for f in corpus] + [(f, 0, 0.5) for fs in ok for f in fs] + [(f, 1, SPREAD / len(fs)) for fs in marked for f in fs]
+    model = fit(rows + extra, bits, epochs=4)
 
     def suspicion(f: np.ndarray) -> float:
         if not len(model.keys):
@@ -301,14 +310,20 @@ def fit_all(sampled: list[str], judged: list[tuple[int, str]], bits: int = 22) -
         at = np.minimum(np.searchsorted(model.keys, f), len(model.keys) - 1)
         return float(np.where(model.keys[at] == f, model.weights[at], 0.0).sum()) + model.bias
 
-    extra = [(f, 0, 1.0) for f in corpus if suspicion(f) < 0]
-    for (y, _), fs in zip(judged, _by_clause([t for _, t in judged], bits) if judged else []):
-        scores = [suspicion(f) for f in fs]
-        if y and scores and max(scores) > -2.0:
-            extra.append((fs[int(np.argmax(scores))], 1, 0.5))
-        elif not y:
-            extra += [(f, 0, 0.5) for f, s in zip(fs, scores) if s < 1.0]
-    return fit(rows + extra, bits, epochs=4)
+    for _ in range(ROUNDS - 1):
+        extra = []
+        for f in corpus:
+            s = suspicion(f)
+            if s < 0 or s > SURE:
+                extra.append((f, int(s > 0), 1.0 if s < 0 else 0.5))
+        for fs in ok:
+            extra += [(f, 0, 0.5) for f in fs if suspicion(f) < 1.0]
+        for fs in marked:
+            scores = [suspicion(f) for f in fs]
+            if max(scores) > LIKELY:
+                extra += [(f, 1, 1.0) for f, s in zip(fs, scores) if s == max(scores) or s > FURTHER]
+        model = fit(rows + extra, bits, epochs=4)
+    return model
 
 
 def _score(model):

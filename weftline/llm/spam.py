@@ -249,11 +249,10 @@ def profile(text: str) -> tuple[int, int, int, int]:
         if again and not listed and (m > LONG or closed):
             again = sum(c for c in Counter(plural).values() if c >= LEAST) >= 0.45 * m
         at += m
-        if not clause and rep >= 0.45 * m or again:
-            stuffed += m
-            classes.append((-1, 0))
-        elif special and (not clause or special >= 0.5 * m) or not special and not func and (listed or not clause and not verbs and m <= LONG and not closed):
-            classes += _classes(toks)
+        repeats = not clause and rep >= 0.45 * m or again
+        stuffed += m if repeats else 0
+        if special and (not clause or special >= 0.5 * m) or not special and not func and (listed or not clause and not verbs and m <= LONG and not closed):
+            classes += [(c, 0 if repeats else k) for c, k in _classes(toks)]
         else:
             classes.append((-1, 0))
     if len(classes) > LEAST:
