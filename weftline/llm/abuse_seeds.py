@@ -145,7 +145,7 @@ come to bed with me naked
 THINGS = [
     ("этот {t} {i}", "ноутбук сканер замок кран чайник роутер".split(), "тварь сволочь гад идиот урод".split()),
     ("бұл {t} {i}", "ноутбук сканер құлып шүмек шәйнек".split(), "ақымақ жынды топас".split()),
-    ("this {t} is a {i}", "laptop scanner lock tap kettle router".split(), "bastard bitch jerk idiot".split()),
+    ("this {t} is a {i}", "laptop scanner lock tap kettle router".split(), "bastard jerk nightmare".split()),
 ]
 NEGATIVE = """
 этот компьютер просто идиот
