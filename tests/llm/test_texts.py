@@ -75,7 +75,7 @@ def test_replacement_keeps_the_rest_and_is_consistent(spark):
         (3, None), (4, ""), (5, "ничего такого"), (6, "зовут Олжас Лисоградов. пару ведёт ЛИСОГРАДОВ А. М."),
     ]
     df = spark.createDataFrame(rows, "id long, text string")
-    out = {r.id: r for r in replace_items(df).collect()}
+    out = {r.id: r for r in replace_items(df, b"key").collect()}
     assert out[1].redacted == "звоните [PHONE_1] или [PHONE_1], спросить [NAME_1]"
     assert out[2].redacted == "почта [EMAIL_1], зв​оните [PHONE_1]"
     assert out[3].redacted is None and out[4].redacted == "" and out[5].surrogate == "ничего такого"

@@ -136,16 +136,16 @@ def _deliveries(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    from .pii import items, occurrences
+    from .pii import occurrences, protected, session_key
 
-    return occurrences(items(_deliveries(spark, sf)))
+    return occurrences(protected(_deliveries(spark, sf), session_key(spark)))
 
 
 @query
 def p5_texts(spark: SparkSession, sf: str) -> DataFrame:
-    from .pii import replace_items
+    from .pii import replace_items, session_key
 
-    return replace_items(_deliveries(spark, sf)).withColumnRenamed("id", "delivery_id")
+    return replace_items(_deliveries(spark, sf), session_key(spark)).withColumnRenamed("id", "delivery_id")
 
 
 @query
