@@ -75,3 +75,33 @@ def test_search_finds_exactly_what_is_there(rows):
         assert (i >= 0) == bool(here)
         if here:
             assert (run[2][i], run[3][i]) == min(here)
+
+
+def _index_rows(spark, rows):
+    return spark.createDataFrame(rows, SCHEMA).select(source_key(F.col("source")).alias("s"), F.col("telegram_message_id").alias("m"), F.unix_micros("exported_at").alias("ts"), F.col("delivery_id").alias("did"))
+
+
+def test_an_index_opened_again_in_another_session_equals_one(spark, tmp_path):
+    rows, path = some_rows(240, seed=9), f"file://{tmp_path}/index"
+    index = DeliveryIndex(spark, 240, path=path)
+    for k in (0, 1, 2):
+        index.ingest(_index_rows(spark, rows).where(F.pmod("did", F.lit(6)) == k))
+    other = spark.newSession()
+    again = DeliveryIndex(other, path=path)
+    assert again.state == index.state and len(again.runs) == 3
+    for k in (3, 4, 5):
+        again.ingest(_index_rows(other, rows).where(F.pmod("did", F.lit(6)) == k))
+    kept = {r.did for r in again.firsts().collect()}
+    assert sorted({r[0] for r in rows} - kept) == brute(rows)
+    third = DeliveryIndex(spark, path=path)
+    assert {r.did for r in third.firsts().collect()} == kept
+
+
+def test_runs_are_read_without_a_shuffle_and_levelled(spark, tmp_path):
+    rows = some_rows(200, seed=3)
+    index = DeliveryIndex(spark, 200, merge_every=2, path=f"file://{tmp_path}/index")
+    for k in range(5):
+        index.ingest(_index_rows(spark, rows).where(F.pmod("did", F.lit(5)) == k))
+    assert sorted(r["level"] for r in index.runs) == [0, 2]
+    plan = index._beside(index._all(), index.runs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Bucketed: true") == 2  # the numbers of the prefixes only
