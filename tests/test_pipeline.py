@@ -13,7 +13,7 @@ from weftline.sources.provider import FatalProviderError, failure_ratio, respond
 
 
 def row(i, rnd):
-    return {"id": i, "score": rnd.uniform(4, 10), "formulaic": rnd.random() < 0.2, "ai_feel": rnd.random() < 0.1, "post_type": rnd.choice("abc"), "topic": rnd.choice("wxyz"), "language": rnd.choice(["ru", "kz"]), "lenband": rnd.randrange(7), "is_question": rnd.random() < 0.4, "advice": rnd.random() < 0.2, "patterns": rnd.choice(["", "p", "p,q"]), "opener1": rnd.choice("klmno"), "opener2": rnd.choice(["k l", "m n", "o p"]), "ending": "q", "casing": rnd.choice(["lower", "upper"]), "shape": "s1_fp", "tells": rnd.randrange(3), "emoji": rnd.random() < 0.5, "seed_id": rnd.randrange(12), "theme_key": rnd.choice("rstuv"), "v": [1.0, 0.0] if rnd.random() < 0.1 else [0.6, 0.8]}
+    return {"id": i, "score": rnd.uniform(4, 10), "formulaic": rnd.random() < 0.2, "ai_feel": rnd.random() < 0.1, "post_type": rnd.choice("abc"), "topic": rnd.choice("wxyz"), "language": rnd.choice(["ru", "kz"]), "lenband": rnd.randrange(7), "is_question": rnd.random() < 0.4, "advice": rnd.random() < 0.2, "patterns": rnd.choice(["", "p", "p,q"]), "opener1": rnd.choice("klmno"), "opener2": rnd.choice(["k l", "m n", "o p"]), "ending": "q", "casing": rnd.choice(["lower", "upper"]), "shape": "s1_fp", "tells": rnd.randrange(3), "emoji": rnd.random() < 0.5, "seed_id": rnd.randrange(12), "theme_key": rnd.choice("rstuv"), "v": [1.0, 0.0] if rnd.random() < 0.1 else [0.6, 0.8], "stems": rnd.sample("abcdefgh", 3)}
 
 
 def test_selection_equals_the_sequential_one(spark):
@@ -24,12 +24,12 @@ def test_selection_equals_the_sequential_one(spark):
     aims = Aims([0.5] * 7, {"casing": {"lower": 2, "upper": 3}, "emoji": {True: 2, False: 3}}, 3)
     chosen = []
     while len(chosen) < 4:
-        ok = [r for r in rows if r not in chosen and not blocked(chosen, r, aims.hard)]
+        ok = [r for r in rows if r not in chosen and not blocked(chosen, r, aims)]
         if not ok:
             break
         base = objective(chosen, aims)
         chosen.append(max(ok, key=lambda r: (objective([*chosen, r], aims) - base, -r["id"])))
-    kinds = {"id": "long", "score": "double", "formulaic": "boolean", "ai_feel": "boolean", "lenband": "int", "is_question": "boolean", "advice": "boolean", "tells": "int", "emoji": "boolean", "seed_id": "long", "v": "array<double>"}
+    kinds = {"id": "long", "score": "double", "formulaic": "boolean", "ai_feel": "boolean", "lenband": "int", "is_question": "boolean", "advice": "boolean", "tells": "int", "emoji": "boolean", "seed_id": "long", "v": "array<double>", "stems": "array<string>"}
     df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{k} {kinds.get(k, 'string')}" for k in rows[0]))
     got = select_diverse(df, aims, k=4, passes=0).orderBy("position").collect()
     assert [r.id for r in got] == [r["id"] for r in chosen]
@@ -41,7 +41,7 @@ def test_swaps_do_not_lower_the_objective(spark):
     rnd = random.Random(4)
     rows = [row(i, rnd) for i in range(25)]
     aims = Aims([0.5] * 7, {"casing": {"lower": 2, "upper": 2}, "emoji": {True: 2, False: 2}}, 2)
-    kinds = {"id": "long", "score": "double", "formulaic": "boolean", "ai_feel": "boolean", "lenband": "int", "is_question": "boolean", "advice": "boolean", "tells": "int", "emoji": "boolean", "seed_id": "long", "v": "array<double>"}
+    kinds = {"id": "long", "score": "double", "formulaic": "boolean", "ai_feel": "boolean", "lenband": "int", "is_question": "boolean", "advice": "boolean", "tells": "int", "emoji": "boolean", "seed_id": "long", "v": "array<double>", "stems": "array<string>"}
     df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{k} {kinds.get(k, 'string')}" for k in rows[0]))
     a, b = (select_diverse(df, aims, k=3, passes=p).first() for p in (0, 2))
     assert b is None or a is None or b.objective >= a.objective - 1e-9
@@ -109,3 +109,84 @@ def test_exports_channels_and_provider(spark, tmp_path):
     out = respond(spark.createDataFrame([(1, "a"), (2, "bad"), (3, None)], "id long, request string"), make, attempts=1, wait=0)
     assert [(r.response, bool(r.error)) for r in out.orderBy("id").collect()] == [("A", False), (None, True), (None, True)]
     assert abs(failure_ratio(out) - 2 / 3) < 1e-9
+
+
+def _swapped(rows, chosen, aims, passes):
+    """The sequential search."""
+    for _ in range(passes):
+        changed = False
+        for p in range(len(chosen)):
+            rest, best = chosen[:p] + chosen[p + 1 :], chosen[p]
+            value = objective(chosen, aims)
+            ok = [r for r in rows if r not in chosen and not blocked(rest, r, aims)]
+            for r in sorted(ok, key=lambda r: (-round(objective([*rest, r], aims), 9), r["id"]))[:1]:
+                if objective([*rest, r], aims) > value + 1e-9:
+                    best, changed = r, True
+            chosen = [*chosen[:p], best, *chosen[p + 1 :]]
+        if not changed:
+            break
+    return chosen
+
+
+def test_swap_search_equals_the_sequential_one_in_both_backends(spark):
+    rnd = random.Random(11)
+    rows = [row(i, rnd) for i in range(40)]
+    for r in rows:
+        r["v"] = rnd.choice([None, [1.0, 0.0], [0.6, 0.8], [0.0, 1.0], [-0.6, 0.8]])
+    kinds = {"id": "long", "score": "double", "formulaic": "boolean", "ai_feel": "boolean", "lenband": "int", "is_question": "boolean", "advice": "boolean", "tells": "int", "emoji": "boolean", "seed_id": "long", "v": "array<double>", "stems": "array<string>"}
+    df = spark.createDataFrame([tuple(r.values()) for r in rows], ", ".join(f"{k} {kinds.get(k, 'string')}" for k in rows[0]))
+    for lexical in (False, True):
+        aims = Aims([0.1, 0.9, 0.3, 0.5, 0.7, 0.2, 0.6], {"casing": {"lower": 2, "upper": 2}, "emoji": {True: 2, False: 2}}, 2, lexical=lexical)
+        start = select_diverse(df, aims, k=4, passes=0).orderBy("position").collect()
+        want = _swapped(rows, [rows[r.id] for r in start], aims, 5)
+        got = select_diverse(df, aims, k=4).orderBy("position").collect()
+        assert [r.id for r in got] == [r["id"] for r in want]
+    assert aims.hard < Aims([], {}, 1).hard
+
+
+def test_assignment_goes_on_until_nothing_is_open(spark):
+    """Many types want the same few seeds: rounds go on until no open type has a seed left."""
+    pairs = [(f"t{i:02d}", s) for i in range(30) for s in range(25)]
+    got = assign_seeds(spark.createDataFrame(pairs, "name string, id int"), spark.createDataFrame([(f"t{i:02d}", 1) for i in range(30)], "name string, n long")).collect()
+    assert len(got) == len({r.name for r in got}) == len({r.id for r in got}) == 25
+
+
+def test_replies_embeddings_settings_and_audit(spark, tmp_path, monkeypatch):
+    import pytest
+
+    from weftline.sources.exports import audited, write_profile
+    from weftline.sources.provider import embeddings, json_object, require_success
+    from weftline.sources.settings import setting
+
+    for reply, cut in (("{}", True), (" ", False), ("[1]", False), ("{", False), (None, False)):
+        assert with_retries(json_object(lambda _: (reply, cut)), "q", attempts=1)[1]  # noqa: B023
+    assert with_retries(json_object(lambda _: ('{"a": 1}', False)), "q") == ('{"a": 1}', None)
+
+    def make():
+        def call(texts):
+            assert len(texts) <= 2
+            if "bad" in texts:
+                raise TimeoutError
+            return [[3.0, 4.0] if t else [0.0, 0.0] for t in texts]
+
+        return call
+
+    rows = spark.createDataFrame([(1, "x"), (2, "bad"), (3, "y"), (4, None), (5, "z"), (6, "")], "id long, text string").coalesce(1)
+    got = {r.id: r.embedding for r in embeddings(rows, make, size=2, attempts=1, wait=0).collect()}
+    assert got == {1: None, 2: None, 3: [0.6, 0.8], 4: None, 5: [0.6, 0.8], 6: None}
+    failed = spark.createDataFrame([(1, None, "e"), (2, "{}", None), (3, None, "e")], "id long, response string, error string")
+    with pytest.raises(FatalProviderError):
+        require_success(failed)
+    assert require_success(failed, most=0.7) is failed
+    (tmp_path / ".env").write_text("# keys\nexport API_KEY = 'abc'\nOTHER=1\nnot a line\n")
+    monkeypatch.delenv("API_KEY", raising=False)
+    assert setting("API_KEY", str(tmp_path / ".env")) == "abc" and setting("NONE", str(tmp_path / "no"), required=False) is None
+    with pytest.raises(KeyError):
+        setting("NONE", str(tmp_path / ".env"))
+    with pytest.raises(ZeroDivisionError):
+        audited(failed, str(tmp_path / "audit"), lambda d: 1 / 0)
+    assert spark.read.parquet(str(tmp_path / "audit")).count() == 3
+    profile = spark.createDataFrame([("length", "longest", 5.0, None)], "section string, key string, value double, percentage double")
+    for _ in range(2):
+        write_profile(profile, str(tmp_path / "profile"))
+    assert spark.read.schema(profile.schema).json(str(tmp_path / "profile")).collect() == profile.collect()

@@ -28,6 +28,16 @@ PRONOUNS = "я мне мен маған сен ты вы мы біз".split()
 LAUGHING = ["...", "😭", "😂", "🤣"]
 CYRILLIC_NO_YO = "[А-Яа-яӘәІіҢңҒғҚқӨөҰұҮүҺһ]"
 
+# Posts that are no exemplars: direct address, profanity, series, and local specifics.
+DIRECT_ADDRESS = "ты тебя тебе тобой сен сені саған you ur".split()
+PROFANITY_PARTS = "хуй хуе ебан еблан ебат пизд сука fuck shit bitch".split()
+PROFANITY_BEGINS = ["бля"]
+SERIES = ["top ?[0-9]", "топ ?[0-9]"]  # at the beginning of a word
+LOCAL_PARTS = ["клуб", "клаб", "club", "универ", "нусом", "бхб", "айди", "рус пед", "дейлик", "мюзик", "кбту", "аегис", "яндекс тим", "перваш", "@", "kiss", "яой", "кастинг", "коттедж", "яойк", "ltn", "blasian", "тютор", "убро", "фараонд"]
+LOCAL_BEGINS = ["уник", "дорам", "gay", "avatar", "корды", "доры", "дшд"]
+LOCAL_ENDS = ["сду"]
+LOCAL_WHOLE = ["дх", "x", "аву", "авы", "икт", "wt"]
+
 # --- style profile ---
 EMOJI_WIDE = r"[\x{1F300}-\x{1FAFF}\x{2700}-\x{27BF}\x{1F1E6}-\x{1F1FF}]+"
 EMOJI_NARROW = r"[\x{1F300}-\x{1FAFF}]"

@@ -100,6 +100,13 @@ def flags(t: Column | str) -> dict[str, Column]:
     return {k: F.coalesce(v, F.lit(False)) for k, v in out.items()}
 
 
+def unfit_exemplar(t: Column | str) -> Column:
+    """Whether a post addresses someone, swears, belongs to a series, or is about local specifics."""
+    low = F.lower(col(t))
+    begins = "(?:" + "|".join(L.PROFANITY_BEGINS + L.SERIES + L.LOCAL_BEGINS) + ")"
+    return low.rlike("|".join([parts(L.PROFANITY_PARTS + L.LOCAL_PARTS), whole(L.DIRECT_ADDRESS + L.LOCAL_WHOLE), L.LEFT + begins, "(?:" + "|".join(L.LOCAL_ENDS) + ")" + L.RIGHT]))
+
+
 def reasons(t: Column | str) -> Column:
     """The reasons that hold, in their fixed order."""
     f = flags(t)

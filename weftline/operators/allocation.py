@@ -37,7 +37,7 @@ def type_seed_pairs(types: DataFrame, seeds: DataFrame) -> DataFrame:
     return tiered.join(F.broadcast(best), "name").where("tier = best").select("name", "id", "tier")
 
 
-def assign_seeds(pairs: DataFrame, wanted: DataFrame, rounds: int = 40) -> DataFrame:
+def assign_seeds(pairs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``name, id``: each seed to one type at most, each type up to its slots (``name, n``).
 
     Rounds of proposals: every open type proposes its next seeds in hash order, a seed takes the type with the fewest
@@ -49,7 +49,7 @@ def assign_seeds(pairs: DataFrame, wanted: DataFrame, rounds: int = 40) -> DataF
     open_ = materialize(pairs.join(choice, "name").select("name", "id", "choices"), "assign")
     taken = None
     need = wanted
-    for _ in range(rounds):
+    while True:  # each round but the last assigns a seed at least
         order = F.row_number().over(Window.partitionBy("name").orderBy(F.xxhash64("name", "id"), "id"))
         offers = open_.withColumn("r", order).join(F.broadcast(need), "name").where("r <= n")
         won = offers.withColumn("k", F.row_number().over(Window.partitionBy("id").orderBy("choices", "name"))).where("k = 1").select("name", "id")

@@ -21,18 +21,23 @@ from ..session import materialize
 
 #: Attributes that coverage counts, and the columns they are in.
 ATTRIBUTES = {"type": "post_type", "topic": "topic", "lang": "language", "lenband": "lenband", "opener": "opener1", "ending": "ending", "shape": "shape"}
-COLUMNS = ["id", "score", "formulaic", "ai_feel", "post_type", "topic", "language", "lenband", "is_question", "advice", "patterns", "opener1", "opener2", "ending", "casing", "shape", "tells", "emoji", "seed_id", "theme_key", "v"]
+COLUMNS = ["id", "score", "formulaic", "ai_feel", "post_type", "topic", "language", "lenband", "is_question", "advice", "patterns", "opener1", "opener2", "ending", "casing", "shape", "tells", "emoji", "seed_id", "theme_key", "v", "stems"]
 
 
 @dataclass
 class Aims:
-    """Parameters of the objective."""
+    """Parameters of the objective; ``lexical`` compares by word stems instead of vectors, with limits of its own."""
 
     prior: list[float]
     targets: dict[str, dict]
     question_limit: int
     soft: float = L.SIMILARITY["embedding"]["soft"]
     hard: float = L.SIMILARITY["embedding"]["hard"]
+    lexical: bool = False
+
+    def __post_init__(self) -> None:
+        if self.lexical:
+            self.soft, self.hard = L.SIMILARITY["lexical"]["soft"], L.SIMILARITY["lexical"]["hard"]
 
 
 def target_bonus(count: int, target: int) -> float:
@@ -40,8 +45,12 @@ def target_bonus(count: int, target: int) -> float:
     return 1.0 - 0.4 * count / max(target, 1) if count < target else -0.3 * (count - target)
 
 
-def cosine(a: dict, b: dict) -> float:
-    return float(np.dot(a["v"], b["v"])) if a["v"] is not None and b["v"] is not None else 0.0
+def likeness(a: dict, b: dict, aims: Aims) -> float:
+    """The cosine of two rows; the Jaccard similarity of their stems, if the aims say so or one has no vector."""
+    if not aims.lexical and a["v"] is not None and b["v"] is not None:
+        return float(np.dot(a["v"], b["v"]))
+    x, y = set(a["stems"] or ()), set(b["stems"] or ())
+    return len(x & y) / len(x | y) if x and y else 0.0
 
 
 def worth(r: dict, aims: Aims) -> float:
@@ -53,7 +62,7 @@ def worth(r: dict, aims: Aims) -> float:
 
 def overlap(a: dict, b: dict, aims: Aims) -> float:
     """The penalty for two rows with similar meaning."""
-    s = cosine(a, b)
+    s = likeness(a, b, aims)
     return L.WEIGHTS["sim"] * (s - aims.soft) / max(aims.hard - aims.soft, 1e-6) if s > aims.soft else 0.0
 
 
@@ -83,10 +92,10 @@ def gain(rows: list[dict], new: dict, aims: Aims, before: float) -> float:
     return worth(new, aims) + spread([*rows, new], aims) - before - sum(overlap(r, new, aims) for r in rows)
 
 
-def blocked(rows: list[dict], new: dict, hard: float) -> str | None:
+def blocked(rows: list[dict], new: dict, aims: Aims) -> str | None:
     """Why ``new`` cannot join; the first of the caps in their order."""
     same = lambda c: sum(r[c] == new[c] for r in rows)
-    if any(cosine(r, new) >= hard for r in rows):
+    if any(likeness(r, new, aims) >= aims.hard for r in rows):
         return "same_meaning"
     if new["seed_id"] is not None and same("seed_id"):
         return "same_seed"
@@ -104,49 +113,67 @@ def blocked(rows: list[dict], new: dict, hard: float) -> str | None:
     return None
 
 
-def _best(chosen: list[dict], aims: Aims):
+def _best(sets: list[list[dict]], taken: set[int], aims: Aims):
+    """Arrow pass: the best row of a task for each of several sets."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before, best = spread(chosen, aims) if chosen else 0.0, None
-        ids = {r["id"] for r in chosen}
+        before = [spread(s, aims) if s else 0.0 for s in sets]
+        best: dict[int, tuple[float, int]] = {}
         for b in batches:
             for r in b.to_pylist():
-                if r["id"] in ids or blocked(chosen, r, aims.hard):
+                if r["id"] in taken:
                     continue
-                key = (-gain(chosen, r, aims, before), r["id"])
-                if best is None or key < best:
-                    best = key
+                for k, s in enumerate(sets):
+                    if not blocked(s, r, aims):
+                        key = (-gain(s, r, aims, before[k]), r["id"])
+                        if k not in best or key < best[k]:
+                            best[k] = key
         if best:
-            yield pa.RecordBatch.from_arrays([pa.array([-best[0]]), pa.array([best[1]])], names=["gain", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array([-g for g, _ in best.values()]), pa.array([i for _, i in best.values()])], names=["k", "gain", "id"])
 
     return run
 
 
-def _top(rows: DataFrame, chosen: list[dict], aims: Aims):
-    """Gain and id of the best row that may join; None if there is none."""
-    return rows.mapInArrow(_best(chosen, aims), "gain double, id long").orderBy(F.desc("gain"), "id").first()
+def _tops(rows: DataFrame, sets: list[list[dict]], taken: set[int], aims: Aims) -> dict[int, tuple[float, int]]:
+    """For each set, gain and id of the best row that may join; a row per set and task reaches the driver at most."""
+    out: dict[int, tuple[float, int]] = {}
+    found = rows.mapInArrow(_best(sets, taken, aims), "k int, gain double, id long").groupBy("k").agg(F.min(F.struct(-F.col("gain"), F.col("id"))).alias("x")).collect()
+    for r in found:
+        out[r.k] = (-r.x[0], r.x[1])
+    return out
 
 
-def select_diverse(rows: DataFrame, aims: Aims, k: int = 20, passes: int = 1) -> DataFrame:
-    """``position, id, objective`` of up to ``k`` rows with the columns ``COLUMNS``: greedy, then ``passes`` of swaps."""
+def select_diverse(rows: DataFrame, aims: Aims, k: int = 20, passes: int = 5) -> DataFrame:
+    """``position, id, objective`` of up to ``k`` rows with the columns ``COLUMNS``: greedy, then up to ``passes`` of swaps.
+
+    A pass replaces the row at each position by the best other one, if that raises the objective. One job finds the best
+    for all positions that are left; up to the first that changes, its answers hold, as the set is the same.
+    """
     rows = materialize(rows.select(*COLUMNS), "select")
     chosen: list[dict] = []
 
     def fetch(i: int) -> dict:
         return rows.where(F.col("id") == i).first().asDict()
 
+    def ids() -> set[int]:
+        return {r["id"] for r in chosen}
+
     while len(chosen) < k:
-        got = _top(rows, chosen, aims)
+        got = _tops(rows, [chosen], ids(), aims).get(0)
         if got is None:
             break
-        chosen.append(fetch(got.id))
+        chosen.append(fetch(got[1]))
     for _ in range(passes if len(chosen) == k else 0):
-        changed = False
-        for at in range(k):
-            rest = chosen[:at] + chosen[at + 1 :]
-            got = _top(rows.where(F.col("id") != chosen[at]["id"]), rest, aims)
-            if got and objective(rest, aims) + got.gain > objective(chosen, aims) + 1e-9:
-                chosen[at] = fetch(got.id)
-                changed = True
+        changed, at = False, 0
+        while at < k:
+            sets = [chosen[:p] + chosen[p + 1 :] for p in range(at, k)]
+            got, now, nxt = _tops(rows, sets, ids(), aims), objective(chosen, aims), k
+            for n, rest in enumerate(sets):
+                if n in got and objective(rest, aims) + got[n][0] > now + 1e-9:
+                    chosen[at + n] = fetch(got[n][1])
+                    changed, nxt = True, at + n + 1
+                    break
+            at = nxt
         if not changed:
             break
     value = objective(chosen, aims)
@@ -159,7 +186,7 @@ def _against(chosen: list[dict], aims: Aims):
         for b in batches:
             rows = [r for r in b.to_pylist() if r["id"] not in ids]
             gains = [round(gain(chosen, r, aims, before), 6) for r in rows]
-            yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in rows], pa.int64()), pa.array([blocked(chosen, r, aims.hard) for r in rows], pa.string()), pa.array(gains, pa.float64())], names=["id", "blocked", "gain"])
+            yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in rows], pa.int64()), pa.array([blocked(chosen, r, aims) for r in rows], pa.string()), pa.array(gains, pa.float64())], names=["id", "blocked", "gain"])
 
     return run
 

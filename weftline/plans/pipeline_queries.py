@@ -213,23 +213,58 @@ def _habits(spark: SparkSession, sf: str):
     return posts(spark, sf).agg(F.avg(t.rlike(r"^\p{Ll}").cast("double")).alias("low"), F.avg(t.rlike(L.EMOJI_GENERATOR).cast("double")).alias("emoji"), F.avg(t.contains("?").cast("double")).alias("q")).first()
 
 
-def _selectable(spark: SparkSession, sf: str) -> tuple[DataFrame, Aims]:
+def _selectable(spark: SparkSession, sf: str, lexical: bool = False) -> tuple[DataFrame, Aims]:
     """Candidates that may be selected, with features, and the aims taken from the posts."""
     c = table(spark, sf, "candidates").where("text IS NOT NULL AND score >= 5").select(F.col("id").cast("long").alias("id"), T.normalize("text").alias("t"), "score", F.coalesce("formulaic", F.lit(False)).alias("formulaic"), F.coalesce("ai_feel", F.lit(False)).alias("ai_feel"), "post_type", "topic", "seed_id", T.unit(F.col("embedding").cast("array<double>")).alias("v"))
     s = table(spark, sf, "seeds").select(F.col("id").alias("seed_id"), T.dedupe_key("theme").alias("theme_key"))
-    rows = c.join(s, "seed_id", "left").select("*", *[x.alias(k) for k, x in T.features("t").items()], T.word_language("t").alias("language"))
+    rows = c.join(s, "seed_id", "left").select("*", *[x.alias(k) for k, x in T.features("t").items()], T.word_language("t").alias("language"), T.stems(T.tokens("t")).alias("stems"))
     prior = [r.prior for r in length_band_prior(spark, sf).orderBy("band").collect()]  # seven rows
     share = _habits(spark, sf)
     low, emoji = round(20 * share.low), round(20 * share.emoji)
-    return rows, Aims(prior, {"casing": {"lower": low, "upper": 20 - low}, "emoji": {True: emoji, False: 20 - emoji}}, round(20 * (share.q + 0.05)))
+    return rows, Aims(prior, {"casing": {"lower": low, "upper": 20 - low}, "emoji": {True: emoji, False: 20 - emoji}}, round(20 * (share.q + 0.05)), lexical=lexical)
 
 
 @query(None)
 def select_final(spark, sf):
-    """Twenty candidates by greedy growth and one pass of swaps."""
+    """Twenty candidates by greedy growth and up to five passes of swaps."""
     return select_diverse(*_selectable(spark, sf))
 
 
+@query(None)
+def select_final_lexical(spark, sf):
+    """The same where no vectors are to be had: likeness is that of word stems."""
+    return select_diverse(*_selectable(spark, sf, lexical=True))
+
+
+@query(f"WITH c AS (SELECT id, round, {G.NORM} AS t FROM candidates WHERE text IS NOT NULL), k AS (SELECT id, round, regexp_replace(lower(t), '[^a-zа-яёәіңғқөұүһ0-9]', '', 'g') AS k FROM c) SELECT id FROM k WHERE round > (SELECT min(round) FROM k AS o WHERE o.k = k.k)")
+def repeats_of_earlier_rounds(spark, sf):
+    """Candidates whose key was there in an earlier round; the first round of a key is a minimum, combined before its shuffle."""
+    c = table(spark, sf, "candidates").where("text IS NOT NULL").select("id", "round", T.dedupe_key(T.normalize("text")).alias("k"))
+    first = c.groupBy("k").agg(F.min("round").alias("first"))
+    return c.join(first, "k").where("round > first").select("id")
+
+
+@query("SELECT round, status, n, sum(n) OVER (PARTITION BY status ORDER BY round)::BIGINT AS so_far FROM (SELECT round, coalesce(status, '') AS status, count(*) AS n FROM candidates GROUP BY 1, 2) AS x")
+def round_totals(spark, sf):
+    """Outcomes of each round and up to it."""
+    n = table(spark, sf, "candidates").groupBy("round", F.coalesce("status", F.lit("")).alias("status")).agg(F.count("*").alias("n"))
+    return n.withColumn("so_far", F.sum("n").over(Window.partitionBy("status").orderBy("round")))  # a row per round and status
+
+
+@query(f"WITH {G.POSTS}, e AS (SELECT count(*) AS n FROM posts WHERE length(t) BETWEEN 15 AND 420 AND ({_VIOLATION}) IS NULL AND len({G.pick(G.flags())}) = 0 AND NOT {G.unfit_exemplar()}), s AS (SELECT count(*) AS n FROM seeds WHERE kind IN ('incident', 'topic', 'oddity', 'interest') AND coalesce(trim(theme), '') <> '' AND coalesce(trim(subject), '') <> ''), v AS (SELECT count(*) AS n FROM candidates WHERE text IS NOT NULL AND score >= 5) SELECT 'exemplars' AS gate, n, n >= 20 AS passed FROM e UNION ALL SELECT 'seeds', n, n >= 80 FROM s UNION ALL SELECT 'survivors', n, n >= 40 FROM v")
+def volume_gates(spark, sf):
+    """Whether there is enough to go on: exemplars, valid seeds, candidates kept."""
+    from .text_queries import exemplar_pool
+
+    gates = [
+        ("exemplars", 20, exemplar_pool(spark, sf)),
+        ("seeds", 80, seed_validity(spark, sf).where("outcome = 'valid'")),
+        ("survivors", 40, table(spark, sf, "candidates").where("text IS NOT NULL AND score >= 5")),
+    ]
+    parts = [d.agg(F.count("*").alias("n")).select(F.lit(g).alias("gate"), "n", (F.col("n") >= least).alias("passed")) for g, least, d in gates]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(None)
 def blocked_reasons(spark, sf):
     """What keeps each candidate out of the set of the ten best scores, and what it would add to its objective."""

@@ -61,6 +61,13 @@ def flags(t: str = "t") -> list[tuple[str, str]]:
     ]
 
 
+def unfit_exemplar(t: str = "t") -> str:
+    low = f"lower({t})"
+    tests = [any_part(low, L.PROFANITY_PARTS), any_part(low, L.LOCAL_PARTS), rx(low, whole(L.DIRECT_ADDRESS)), rx(low, whole(L.LOCAL_WHOLE))]
+    tests += [rx(low, L.LEFT + w) for w in L.PROFANITY_BEGINS + L.SERIES + L.LOCAL_BEGINS] + [rx(low, w + L.RIGHT) for w in L.LOCAL_ENDS]
+    return "(" + " OR ".join(tests) + ")"
+
+
 def style(t: str = "t") -> str:
     own = f"list_transform({words(t)}, lambda w: trim(lower(w), '.,!?'))"
     return (

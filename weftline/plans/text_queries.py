@@ -30,6 +30,16 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "raw_telegram_posts").where("text IS NOT NULL").select("delivery_id", "source", T.normalize("text").alias("t"))
 
 
+def held(d: DataFrame, keep: list[str], **cols: Column) -> DataFrame:
+    """``keep`` and computed columns, behind an outer generator of one row.
+
+    A filter on a computed column is otherwise put below the projection, with the column's expression in each of its
+    terms: a text would be normalised once for every pattern.
+    """
+    one = F.explode_outer(F.array(F.struct(*[c.alias(k) for k, c in cols.items()]))).alias("_held")
+    return d.select(*keep, one).select(*keep, *[F.col(f"_held.{k}").alias(k) for k in cols])
+
+
 def _of(select: str, **more) -> str:
     return f"WITH {G.POSTS} SELECT {select} FROM posts"
 
@@ -49,7 +59,8 @@ def _flag(name: str, keys: list[str]) -> None:
     cond = dict(G.flags())[keys[0]]
 
     def run(spark, sf):
-        return posts(spark, sf).where(T.flags("t")[keys[0]]).select("delivery_id", "t")
+        d = held(table(spark, sf, "raw_telegram_posts").where("text IS NOT NULL"), ["delivery_id"], t=T.normalize("text"))
+        return d.where(T.flags("t")[keys[0]]).select("delivery_id", "t")
 
     run.__name__ = name
     QUERIES[name] = run
@@ -163,26 +174,71 @@ def source_counts(spark, sf):
     return d.withColumn("share", F.round(F.col("n") * 100 / F.sum("n").over(Window.partitionBy()), 1))  # a row per source
 
 
-def _profile_columns() -> dict[str, tuple[Column, str]]:
-    """Categories of the profile: the value of each post, in both dialects."""
-    return {
-        "language": (T.script("t"), G.script()),
-        "format": (T.post_format("t"), G.post_format()),
-        "question_type": (T.question_type("t"), G.question_type()),
-    }
-
-
-_PROFILE_SQL = " UNION ALL ".join(f"SELECT '{k}' AS section, {v[1]} AS key FROM posts" for k, v in {"language": (0, G.script()), "format": (0, G.post_format()), "question_type": (0, G.question_type())}.items())
-
-
-@query(f"WITH {G.POSTS}, v AS ({_PROFILE_SQL}), n AS (SELECT count(*) AS total FROM posts) SELECT section, key, count(*) AS n, round(count(*) * 100.0 / (SELECT total FROM n), 1) AS percentage FROM v GROUP BY 1, 2")
+_FLAGS = {
+    "punctuation": {"question_mark": "contains(t, '?')", "exclamation_mark": "contains(t, '!')", "ellipsis": "contains(t, '...')", "multiple_exclamation": "contains(t, '!!')", "multiple_question": "contains(t, '??')", "lowercase_start": "regexp_matches(t, '^\\p{Ll}')"},
+    "language_mixing": {"russian": "regexp_matches(lower(t), '[а-яё]')", "kazakh": f"regexp_matches(lower(t), {G.q(L.KAZAKH_LETTERS)})", "english": G.rx("lower(t)", G.whole(L.ENGLISH_MARKS))},
+    "personal_language": {"first_person": G.rx("lower(t)", G.whole(L.FIRST_PERSON)), "second_person": G.rx("lower(t)", G.whole(L.SECOND_PERSON))},
+    "emotional_style": {"positive": f"{G.count_words('t', L.POSITIVE)} > 0", "negative": f"{G.count_words('t', L.NEGATIVE)} > 0"},
+    "emoji": {"posts_with_emoji": f"{_RUNS} > 0"},
+    "questions": {"question_posts": "contains(t, '?')"},
+}
+_VALUES = {"language": G.script(), "format": G.post_format(), "sources": "lower(trim(source))"}
+_CASUAL_SQL = G.pick([(w, G.rx("lower(t)", G.whole([w]))) for w in L.CASUAL])
+_LENGTHS = {"average_characters": "round(avg(length(t)), 1)", "median_characters": "round(median(length(t)), 1)", "shortest_characters": "min(length(t))", "longest_characters": "max(length(t))", "average_words": f"round(avg(len({G.words('t')})), 1)", "median_words": f"round(median(len({G.words('t')})), 1)"}
+_COUNTED = " UNION ALL ".join(
+    [f"SELECT '{s}' AS section, '{k}' AS key, count(*) AS n FROM posts WHERE {c} HAVING count(*) > 0" for s, flags in _FLAGS.items() for k, c in flags.items()]
+    + [f"SELECT '{s}', {v}, count(*) FROM posts GROUP BY {v}" for s, v in _VALUES.items()]
+    + [f"SELECT 'question_types', {G.question_type()}, count(*) FROM posts WHERE {G.question_type()} <> 'not_question' GROUP BY 2"]
+    + [f"SELECT 'topics', topic, count(*) FROM (SELECT unnest(CASE WHEN len({_TOPICS}) = 0 THEN ['other'] ELSE {_TOPICS} END) AS topic FROM posts) AS z GROUP BY 2"]
+    + [f"SELECT 'casual_language', 'posts_with_casual_words', count(*) FROM posts WHERE len({_CASUAL_SQL}) > 0 HAVING count(*) > 0"]
+    + [f"SELECT 'casual_words', word, n FROM (SELECT word, count(*) AS n, min(delivery_id) AS first_seen FROM (SELECT delivery_id, unnest({_CASUAL_SQL}) AS word FROM posts) AS y GROUP BY 1 ORDER BY n DESC, first_seen, word LIMIT 20) AS x"]
+)
+
+
+@query(
+    f"WITH {G.POSTS}, n AS (SELECT count(*) AS total FROM posts), c AS ({_COUNTED}) SELECT section, key, n::DOUBLE AS value, round(n * 100.0 / (SELECT total FROM n), 1) AS percentage FROM c "
+    "UNION ALL SELECT 'dataset', 'total_posts', total, NULL FROM n "
+    f"UNION ALL SELECT 'emoji', 'total_emojis', sum({_RUNS}), NULL FROM posts UNION ALL SELECT 'emoji', 'average_emojis_per_post', round(sum({_RUNS}) / count(*), 2), NULL FROM posts "
+    + " ".join(f"UNION ALL SELECT 'length', '{k}', ({e})::DOUBLE, NULL FROM posts" for k, e in _LENGTHS.items())
+)
 def style_profile(spark, sf):
-    """The profile's distributions as rows: one pass, one small shuffle."""
-    d = posts(spark, sf)
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("section"), v[0].alias("key")) for k, v in _profile_columns().items()]))
-    counts = d.select(each.alias("x")).groupBy("x.section", "x.key").agg(F.count("*").alias("n"))
-    # Every post counts once in each section, so a section's sum is the number of posts.
-    return counts.withColumn("percentage", F.round(F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy("section")), 1))
+    """The whole profile as rows ``section, key, value, percentage``: dataset and sources, length, language, format,
+    questions and their types, emoji, punctuation, casual words, persons, mixing, topics, emotions.
+
+    Every post gives its pairs of section and key, which are counted in one small shuffle; sums, averages and medians of
+    the posts are one further row. The word list of a section is cut to its twenty most frequent, as a top-k report.
+    """
+    t, low = F.col("t"), F.lower("t")
+    d = held(table(spark, sf, "raw_telegram_posts").where("text IS NOT NULL"), ["delivery_id", "source"], t=T.normalize("text"))
+    flags = {
+        "punctuation": {"question_mark": t.contains("?"), "exclamation_mark": t.contains("!"), "ellipsis": t.contains("..."), "multiple_exclamation": t.contains("!!"), "multiple_question": t.contains("??"), "lowercase_start": t.rlike(r"^\p{Ll}")},
+        "language_mixing": {"russian": low.rlike("[а-яё]"), "kazakh": low.rlike(L.KAZAKH_LETTERS), "english": low.rlike(T.whole(L.ENGLISH_MARKS))},
+        "personal_language": {"first_person": low.rlike(T.whole(L.FIRST_PERSON)), "second_person": low.rlike(T.whole(L.SECOND_PERSON))},
+        "emotional_style": {"positive": low.rlike(T.whole(L.POSITIVE)), "negative": low.rlike(T.whole(L.NEGATIVE))},
+        "emoji": {"posts_with_emoji": T.emoji_runs("t") > 0},
+        "questions": {"question_posts": t.contains("?")},
+    }
+    values = {"language": T.script("t"), "format": T.post_format("t"), "sources": F.lower(F.trim("source")), "question_types": F.nullif(T.question_type("t"), F.lit("not_question"))}
+    pair = lambda s, k: F.struct(F.lit(s).alias("section"), k.alias("key"))
+    found = F.concat(
+        F.array(*[pair(s, F.when(c, F.lit(k))) for s, part in flags.items() for k, c in part.items()], *[pair(s, v) for s, v in values.items()], pair("casual_language", F.when(F.size("casual") > 0, F.lit("posts_with_casual_words")))),
+        F.transform("topics", lambda x: pair("topics", x)),
+        F.transform("casual", lambda x: pair("casual_words", x)),
+    )
+    d = held(d, ["delivery_id", "source", "t"], casual=T.listed("t", L.CASUAL), topics=T.topics("t"))
+    counts = d.select("delivery_id", F.explode_outer(found).alias("x")).where(F.col("x.key").isNotNull()).groupBy("x.section", "x.key").agg(F.count("*").alias("n"), F.min("delivery_id").alias("first_seen"))
+    place = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("n"), "first_seen", "key"))  # sections have few keys
+    # Every post has one format, so that section's sum is the number of posts.
+    total = F.sum(F.when(F.col("section") == "format", F.col("n"))).over(Window.partitionBy())
+    counts = counts.withColumn("place", place).withColumn("total", total).where("section <> 'casual_words' OR place <= 20")
+    rows = counts.select("section", "key", F.col("n").cast("double").alias("value"), F.round(F.col("n") * 100.0 / F.col("total"), 1).alias("percentage"))
+
+    c, w, e = F.length("t"), F.size(T.split_words("t")), T.emoji_runs("t")
+    one = {("dataset", "total_posts"): F.count("*"), ("emoji", "total_emojis"): F.sum(e), ("emoji", "average_emojis_per_post"): F.round(F.sum(e) / F.count("*"), 2)}
+    one |= {("length", k): v for k, v in {"average_characters": F.round(F.avg(c), 1), "median_characters": F.round(F.median(c), 1), "shortest_characters": F.min(c), "longest_characters": F.max(c), "average_words": F.round(F.avg(w), 1), "median_words": F.round(F.median(w), 1)}.items()}
+    stats = posts(spark, sf).agg(*[v.cast("double").alias(f"c{i}") for i, v in enumerate(one.values())])
+    each = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(k).alias("key"), F.col(f"c{i}").alias("value")) for i, (s, k) in enumerate(one)])
+    return rows.unionByName(stats.select(F.explode(each).alias("x")).select("x.section", "x.key", "x.value", F.lit(None).cast("double").alias("percentage")))
 
 
 _NAME = f"len(list_filter(regexp_extract_all(regexp_replace(t, {G.q(S.SENTENCE_START)}, '\\1', 'g'), {G.q('(' + S.TOKEN + ')')}, 1), lambda w: regexp_matches(w, {G.q(S.TITLE)}) AND NOT list_contains({G.arr(S.ALLOWED_CAPITALS)}, lower(w)))) > 0"
@@ -209,10 +265,12 @@ def clean_post_text(spark, sf):
     return table(spark, sf, "candidates").select("id", S.clean_text("text").alias("cleaned"))
 
 
-@query(f"WITH {G.POSTS}, v AS (SELECT delivery_id, t, {_VIOLATION} AS violation, {G.pick(G.flags())} AS r FROM posts) SELECT delivery_id, t, {G.word_language()} AS language FROM v WHERE length(t) BETWEEN 15 AND 420 AND violation IS NULL AND len(r) = 0")
+@query(f"WITH {G.POSTS}, v AS (SELECT delivery_id, t, {_VIOLATION} AS violation, {G.pick(G.flags())} AS r FROM posts) SELECT delivery_id, t, {G.word_language()} AS language FROM v WHERE length(t) BETWEEN 15 AND 420 AND violation IS NULL AND len(r) = 0 AND NOT {G.unfit_exemplar()}")
 def exemplar_pool(spark, sf):
-    d = posts(spark, sf).where(F.length("t").between(15, 420)).select("*", S.first_violation("t").alias("v"), T.reasons("t").alias("r"))
-    return d.where(F.col("v").isNull() & (F.size("r") == 0)).select("delivery_id", "t", T.word_language("t").alias("language"))
+    """Posts that may stand as examples: of fitting length, without flags and violations, and about nothing local."""
+    d = held(table(spark, sf, "raw_telegram_posts").where("text IS NOT NULL"), ["delivery_id"], t=T.normalize("text"))
+    d = held(d.where(F.length("t").between(15, 420)), ["delivery_id", "t"], unfit=T.unfit_exemplar("t"), v=S.first_violation("t"), r=T.reasons("t"), language=T.word_language("t"))
+    return d.where(F.col("v").isNull() & (F.size("r") == 0) & ~F.col("unfit")).select("delivery_id", "t", "language")
 
 
 _CAND = f"c AS (SELECT id, {G.NORM} AS t FROM (SELECT id, coalesce(text, '') AS text FROM candidates) AS y)"
@@ -268,10 +326,12 @@ def union_sources(spark, sf):
     return u.agg(F.count("*").alias("n"), F.count_distinct("t").alias("n_distinct"), F.sum(F.length("t")).alias("chars"))
 
 
-@query(f"WITH {G.POSTS} SELECT i.id FROM candidates AS i WHERE i.text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM posts WHERE posts.t = trim(regexp_replace(replace(i.text, chr(8203), ''), {G.q(L.BLANK + '+')}, ' ', 'g')))")
+@query(f"WITH {G.POSTS}, flagged AS (SELECT DISTINCT t FROM posts WHERE len({G.pick(G.flags())}) > 0) SELECT i.id FROM candidates AS i WHERE i.text IS NOT NULL AND NOT EXISTS (SELECT 1 FROM flagged WHERE flagged.t = trim(regexp_replace(replace(i.text, chr(8203), ''), {G.q(L.BLANK + '+')}, ' ', 'g')))")
 def anti_flagged(spark, sf):
     c = table(spark, sf, "candidates").where("text IS NOT NULL").select("id", T.normalize("text").alias("t"))
-    return c.join(posts(spark, sf).select("t"), "t", "left_anti").select("id")
+    p = held(table(spark, sf, "raw_telegram_posts").where("text IS NOT NULL"), [], t=T.normalize("text"))
+    flagged = held(p, ["t"], r=T.reasons("t")).where(F.size("r") > 0).select("t").distinct()
+    return c.join(flagged, "t", "left_anti").select("id")
 
 
 @query(f"WITH {G.POSTS}, f AS (SELECT delivery_id, list_distinct({G.stems(G.tokens('t'))}) AS s FROM posts), x AS (SELECT delivery_id, unnest(s) AS stem FROM f) SELECT stem, count(*) AS n FROM x WHERE length(stem) >= 5 GROUP BY 1 HAVING count(*) >= 4")

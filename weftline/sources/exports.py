@@ -49,6 +49,19 @@ def write_audit(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").parquet(path)
 
 
+def write_profile(profile: DataFrame, path: str) -> None:
+    """A profile as JSON lines (``section, key, value, percentage``), in place of an earlier one once it is whole."""
+    profile.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)  # one row per section and key
+
+
+def audited(rows: DataFrame, path: str, run):
+    """``run(rows)``; every candidate with its outcome is written to ``path`` whether it ends or fails."""
+    try:
+        return run(rows)
+    finally:
+        write_audit(rows, path)
+
+
 def report(counts: DataFrame, section: str, key: str, n: str = "n") -> DataFrame:
     """``section, key, n`` rows for a printed report."""
     return counts.select(F.lit(section).alias("section"), F.col(key).cast("string").alias("key"), F.col(n).alias("n"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import math
 import time
 from collections.abc import Callable, Iterator
 
@@ -42,6 +44,57 @@ def respond(requests: DataFrame, make: Callable[[], Callable[[str], str]], attem
     return requests.select("id", "request").mapInArrow(run, "id long, response string, error string")
 
 
+def json_object(call: Callable[[str], tuple[str, bool]]) -> Callable[[str], str]:
+    """A call that fails where the reply is cut off, empty, not JSON, or no object, so that ``with_retries`` asks again.
+
+    ``call`` gives the reply and whether it was cut off.
+    """
+
+    def run(request: str) -> str:
+        reply, cut = call(request)
+        if cut:
+            raise ValueError("the reply was cut off")
+        if not (reply or "").strip():
+            raise ValueError("empty reply")
+        if not isinstance(json.loads(reply), dict):
+            raise ValueError("the reply is no JSON object")
+        return reply
+
+    return run
+
+
+def require_success(responses: DataFrame, most: float = 0.5) -> DataFrame:
+    """``responses``, if at most the share ``most`` of them failed; else the job ends."""
+    failed = failure_ratio(responses)
+    if failed > most:
+        raise FatalProviderError(f"{failed:.0%} of the requests failed")
+    return responses
+
+
+def embeddings(texts: DataFrame, make: Callable[[], Callable[[list[str]], list[list[float]]]], size: int = 200, attempts: int = 3, wait: float = 2.0) -> DataFrame:
+    """``id, embedding array<double>`` for every row of ``id long, text string``: vectors of unit length.
+
+    The provider is asked for ``size`` texts at a time. Null texts, texts of a request that failed, and zero vectors have
+    a null embedding; such rows are compared by their words instead.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        call = make()
+        for b in batches:
+            ids, words = b.column(0).to_pylist(), b.column(1).to_pylist()
+            out: list = [None] * len(ids)
+            asked = [i for i, t in enumerate(words) if t is not None]
+            for at in range(0, len(asked), size):
+                part = asked[at : at + size]
+                got, _ = with_retries(lambda _: call([words[i] for i in part]), "", attempts, wait)  # noqa: B023
+                for i, v in zip(part, got or ()):
+                    norm = math.sqrt(sum(x * x for x in v))
+                    out[i] = [x / norm for x in v] if norm else None
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.float64()))], names=["id", "embedding"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, embedding array<double>")
+
+
 def failure_ratio(responses: DataFrame) -> float:
     """Share of rows without a response; 0 for none."""
     from pyspark.sql import functions as F
