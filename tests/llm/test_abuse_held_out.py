@@ -88,7 +88,7 @@ nobody knows the room number
 
 
 def test_held_out_phrasing():
-    """Measured without verdicts and with a small corpus: 0.86 of the harmful sentences found, 0.82 of the harmless ones let pass."""
+    """Measured without verdicts and with a small corpus: 0.86 of the harmful sentences found, 0.86 of the harmless ones let pass."""
     model = abuse.fit_all(PLAIN, [])
     bad, good = (abuse.score_texts(model, pa.array(x)) >= 0.5 for x in (HARMFUL, HARMLESS))
     print("recall", bad.mean(), [t for t, b in zip(HARMFUL, bad) if not b], "passed", 1 - good.mean(), [t for t, b in zip(HARMLESS, good) if b])

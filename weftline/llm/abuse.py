@@ -209,7 +209,7 @@ def score_texts(model: Model, texts: pa.Array) -> np.ndarray:
     return 1 / (1 + np.exp(-(best + model.bias)))
 
 
-def fit(samples: list[tuple[np.ndarray, int, float]], bits: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.3, l2: float = 0.5, epochs: int = 6, bias: float = -3.0, batch: int = 64) -> Model:
+def fit(samples: list[tuple[np.ndarray, int, float]], bits: int, alpha: float = 0.3, beta: float = 1.0, l1: float = 0.3, l2: float = 0.5, epochs: int = 6, bias: float = -3.0, batch: int = 128) -> Model:
     """FTRL-proximal over (features, label, weight) in small batches; the bias is fixed so that unknown words speak for harmless."""
     samples = [x for x in samples if len(x[0])]
     if not samples:
@@ -302,7 +302,7 @@ def fit_all(sampled: list[str], judged: list[tuple[int, str]], bits: int = 22) -
     ok = [fs for (y, _), fs in zip(judged, clauses) if not y]
     marked = [fs for (y, _), fs in zip(judged, clauses) if y and fs]
     extra = [(f, 0, 0.3) for f in corpus] + [(f, 0, 0.5) for fs in ok for f in fs] + [(f, 1, SPREAD / len(fs)) for fs in marked for f in fs]
-    model = fit(rows + extra, bits, epochs=4)
+    model = fit(rows + extra, bits, epochs=2)
 
     def suspicion(f: np.ndarray) -> float:
         if not len(model.keys):
@@ -310,7 +310,7 @@ def fit_all(sampled: list[str], judged: list[tuple[int, str]], bits: int = 22) -
         at = np.minimum(np.searchsorted(model.keys, f), len(model.keys) - 1)
         return float(np.where(model.keys[at] == f, model.weights[at], 0.0).sum()) + model.bias
 
-    for _ in range(ROUNDS - 1):
+    for last in range(ROUNDS - 2, -1, -1):
         extra = []
         for f in corpus:
             s = suspicion(f)
@@ -322,7 +322,7 @@ def fit_all(sampled: list[str], judged: list[tuple[int, str]], bits: int = 22) -
             scores = [suspicion(f) for f in fs]
             if max(scores) > LIKELY:
                 extra += [(f, 1, 1.0) for f, s in zip(fs, scores) if s == max(scores) or s > FURTHER]
-        model = fit(rows + extra, bits, epochs=4)
+        model = fit(rows + extra, bits, epochs=2 if last else 4)
     return model
 
 

@@ -17,6 +17,7 @@ Null text gives null in both. Blank text gives an empty canonical text. Texts of
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -39,6 +40,15 @@ GREEK_LATIN = [
 # Forms that Unicode calls compatible and that also look the same.
 COMPATIBLE = [("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"), ("…", "..."), ("ĳ", "ij"), ("Ĳ", "IJ"), ("ǆ", "dž"), ("ǉ", "lj"), ("ǌ", "nj")]
 
+# Letters of other alphabets and phonetic signs that look like a letter of the two alphabets.
+EXOTIC = [
+    ("ɡ", "g"), ("ց", "g"), ("օ", "o"), ("ո", "n"), ("ս", "u"), ("հ", "h"), ("զ", "q"), ("ϳ", "j"), ("ѵ", "v"), ("ӏ", "l"), ("Ӏ", "I"),
+    ("ᴏ", "o"), ("ᴠ", "v"), ("ᴡ", "w"), ("ᴢ", "z"), ("ᴄ", "c"), ("ꜱ", "s"), ("ĸ", "к"), ("Ꭺ", "A"), ("Ꮯ", "C"), ("Ꮋ", "H"), ("Ꮶ", "K"), ("Ꮇ", "M"), ("Ꭲ", "T"),
+]
+#: By rule, from the Unicode tables: fonts of a letter or digit (mathematical, script, double-struck), and Roman numerals.
+FONTS = [(chr(c), d) for c in (*range(0x2100, 0x2150), *range(0x1D400, 0x1D800), *range(0xFB20, 0xFB50)) if unicodedata.decomposition(chr(c)).startswith("<font>") and len(d := unicodedata.normalize("NFKC", chr(c))) == 1]
+NUMERALS = [(chr(c), unicodedata.normalize("NFKC", chr(c))) for c in range(0x2160, 0x2180) if unicodedata.decomposition(chr(c)).startswith("<compat>")]
+
 _BLANKS = "\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000\t\r\x0b\x0c\x85\u2028\u2029"
 _WIDE = "".join(map(chr, range(0xFF01, 0xFF5F)))
 _NARROW = "".join(map(chr, range(0x21, 0x7F)))
@@ -56,7 +66,7 @@ def _translate(expr: str, pairs: Iterable[tuple[str, str]]) -> str:
 
 _INVISIBLE = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}\x{200C}\x{200E}\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}]+"
 #: Characters beyond plain text that any of the first steps would change.
-_SPECIAL = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{0300}-\x{036F}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2010}\x{2011}\x{2026}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FF01}-\x{FF5E}\x{FB00}-\x{FB06}\x{0085}\t\r\x0b\x0c\x{0132}\x{0133}\x{01C6}\x{01C9}\x{01CC}]"
+_SPECIAL = r"[\x{00AD}\x{034F}\x{061C}\x{115F}\x{1160}\x{17B4}\x{17B5}\x{180B}-\x{180E}\x{200B}-\x{200F}\x{202A}-\x{202E}\x{2060}-\x{206F}\x{FE00}-\x{FE0F}\x{FEFF}\x{0300}-\x{036F}\x{00A0}\x{1680}\x{2000}-\x{200A}\x{2010}\x{2011}\x{2026}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FF01}-\x{FF5E}\x{FB00}-\x{FB06}\x{0085}\t\r\x0b\x0c\x{0132}\x{0133}\x{01C6}\x{01C9}\x{01CC}\x{2100}-\x{214F}\x{2160}-\x{217F}\x{1D400}-\x{1D7FF}\x{FB20}-\x{FB4F}" + "".join(a for a, _ in EXOTIC) + "]"
 _CYR_ALIKE = "".join(a for a, _ in CYRILLIC_LATIN)
 _LAT_ALIKE = "".join(b for _, b in CYRILLIC_LATIN)
 #: Look-alikes that Cyrillic texts of today hardly have: a word with them and nothing Cyrillic is Latin.
@@ -77,8 +87,8 @@ def _visible(t: str) -> str:
 def _plain(t: str) -> str:
     """SQL: invisible characters out, forms and blanks ordinary, marks composed."""
     alike = list(zip(_WIDE, _NARROW)) + [(b, " ") for b in _BLANKS] + [(h, "-") for h in _HYPHENS]
-    out = _translate(_visible(t), alike)
-    for a, b in COMPATIBLE:
+    out = _translate(_visible(t), alike + FONTS + EXOTIC)
+    for a, b in sorted(COMPATIBLE + NUMERALS, key=lambda x: x[0]):
         out = f"replace({out}, {_quote(a)}, {_quote(b)})"
     return f"CASE WHEN regexp_matches({t}, '{_SPECIAL}') THEN nfc_normalize({out}) ELSE {t} END"
 

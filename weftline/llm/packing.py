@@ -155,7 +155,7 @@ def pack(documents: DataFrame, capacity: int, doc_id: str = "doc_id", text: str
     # Whole pieces: numbered behind the others, by document; few and in groups again.
     long = items.where("whole > 0").withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(salts)))
     totals = long.groupBy("salt").agg(F.sum("whole").alias("n"))
-    starts = totals.withColumn("offset", F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).select("salt", F.coalesce("offset", F.lit(0)).alias("offset"))
+    starts = totals.withColumn("offset", F.sum("n").over(Window.partitionBy().orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))).select("salt", F.coalesce("offset", F.lit(0)).alias("offset"))
     numbered = long.withColumn("before", F.sum("whole").over(Window.partitionBy("salt").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))).join(starts, "salt")
     heads = numbered.select("doc_id", F.posexplode(F.sequence(F.lit(1), "whole")).alias("piece", "x"), (F.lit(base) + F.col("offset") + F.coalesce("before", F.lit(0))).alias("c0"))
     heads = heads.select("doc_id", "piece", (F.col("piece") * cap).alias("start_token"), cap.cast("int").alias("n_tokens"), (F.col("c0") + F.col("piece")).alias("container"))

@@ -179,6 +179,81 @@ def p6_subset_200(spark: SparkSession, sf: str) -> DataFrame:
     return varied_subset(table(spark, sf, "candidates"), 200)
 
 
+# --- what must hold whatever the model finds, with SQL of its own ---
+
+
+@query
+def p3_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored rows of each source: every delivery has a score, also without text."""
+    return p3_source_rates(spark, sf).select("source", "n_rows")
+
+
+ORACLES["p3_rows"] = r"SELECT coalesce(lower(regexp_replace(source, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), '') AS source, count(*) AS n_rows FROM raw_telegram_posts GROUP BY 1"
+
+
+@query
+def p5_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """The texts with items, put together again from what stands between the items and the items themselves."""
+    from .pii import items
+
+    d = _deliveries(spark, sf)
+    spans = items(d).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "stop"))).alias("s"))
+    cut = lambda a, b: F.substring(F.col("text"), a + 1, b - a)
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    step = lambda acc, x: F.struct(x["stop"].alias("at"), F.concat(acc["out"], cut(acc["at"], x["start"]), cut(x["start"], x["stop"])).alias("out"))
+    whole = d.join(spans, "id", "left").withColumn("acc", F.aggregate(F.coalesce("s", F.array().cast("array<struct<start:int,stop:int>>")), start, step))
+    return whole.select(F.col("id").alias("delivery_id"), F.concat(F.col("acc.out"), cut(F.col("acc.at"), F.length("text"))).alias("text"))
+
+
+ORACLES["p5_restored"] = "SELECT delivery_id, text FROM raw_telegram_posts"
+
+
+@query
+def p7_covered(spark: SparkSession, sf: str) -> DataFrame:
+    """Candidates that got a language: all with a letter."""
+    from .langmix import candidate_languages
+
+    return candidate_languages(table(spark, sf, "candidates")).select(F.col("id").cast("int").alias("id"), F.col("code").isNotNull().alias("has_code"))
+
+
+ORACLES["p7_covered"] = "SELECT id, coalesce(regexp_matches(text, '\\p{L}'), false) AS has_code FROM candidates"
+
+
+@query
+def p8_invariants(spark: SparkSession, sf: str) -> DataFrame:
+    """Breaches for each capacity: documents without a place, lost or doubled tokens, overfull containers, needless splits."""
+    from ..session import materialize
+    from .packing import pack, token_counts
+
+    docs = table(spark, sf, "documents")
+    counted = materialize(token_counts(docs), "tokens")
+    out = None
+    for c in (512, 2048):
+        p = materialize(pack(docs, c, counted=counted), "packed")
+        per = p.groupBy("doc_id").agg(F.sum("n_tokens").alias("n"), F.count("*").alias("pieces"))
+        each = counted.join(per, "doc_id", "left").agg(
+            F.count_if(F.col("n").isNull()).alias("without_place"), F.count_if(F.coalesce("n", "n_tokens") != F.col("n_tokens")).alias("other_tokens"), F.count_if(F.col("pieces") > F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / c))).alias("needless_splits")
+        )
+        full = p.where("n_tokens > 0").groupBy("container").agg(F.sum("n_tokens").alias("n")).agg(F.count_if(F.col("n") > c).alias("overfull"))
+        row = each.crossJoin(full).select(F.lit(c).alias("capacity"), "without_place", "other_tokens", "needless_splits", "overfull")  # one row each
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+ORACLES["p8_invariants"] = "SELECT c AS capacity, 0::BIGINT AS without_place, 0::BIGINT AS other_tokens, 0::BIGINT AS needless_splits, 0::BIGINT AS overfull FROM (VALUES (512), (2048)) AS v(c)"
+
+
+@query
+def p10_bounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents whose profile is no profile: more stuffing, links or repeats than words, or no words where there are letters."""
+    p = p10_profiles(spark, sf).join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    bad = (F.greatest("stuffed", "links", "repeated") > F.col("words")) | ((F.col("words") > 0) != F.col("text").rlike(r"[\p{L}\p{N}]"))
+    return p.agg(F.count("*").alias("n"), F.count_if(bad).alias("bad"))
+
+
+ORACLES["p10_bounds"] = "SELECT count(*) AS n, 0::BIGINT AS bad FROM documents"
+
+
 def _subset_oracles() -> None:
     from .subset import subset_sql
 
@@ -189,19 +264,34 @@ def _subset_oracles() -> None:
 _subset_oracles()
 
 
-def _pair_oracles() -> None:
-    """SQL for the pair queries: every pair by joining on the whole key, or on every word or gram."""
-    from .canonical import canonical_sql, key_sql, words_sql
+#: What a reader sees, written apart from ``canonical``: nothing invisible, ordinary forms, composed marks, and one letter
+#: for all that look like it.
+_BARE = (
+    "nfc_normalize(translate(regexp_replace(regexp_replace(text, '([^\\p{So}\\p{Sk}\\x{FE0F}])\\x{200D}+', '\\1', 'g'), '[\\x{00AD}\\x{034F}\\x{061C}\\x{180E}\\x{200B}\\x{200C}\\x{200E}\\x{200F}\\x{202A}-\\x{202E}\\x{2060}-\\x{2064}\\x{FE00}-\\x{FE0F}\\x{FEFF}]', '', 'g'), "
+    "array_to_string(list_transform(range(65281, 65375), lambda c: chr(c::INT)), '') || chr(160) || chr(8239) || chr(8287) || chr(12288) || chr(9) || array_to_string(list_transform(range(8192, 8203), lambda c: chr(c::INT)), '') || chr(8209) || chr(8208), "
+    "array_to_string(list_transform(range(33, 127), lambda c: chr(c::INT)), '') || repeat(' ', 16) || '--'))"
+)
+_ALIKE = "'асеорхуіјѕһԁԛԝАВСЕНКМОРТХУІЈЅёЁїЇΑΒΕΖΗΙΚΜΝΟΡΤΥΧον', 'aceopxyijshdqwABCEHKMOPTXYIJSëËïÏABEZHIKMNOPTYXov'"
+_SEEN = f"nfc_normalize(translate({_BARE}, {_ALIKE}))"
+#: Words: look-alikes are Cyrillic when their case is changed, if the word has other Cyrillic letters, or none but look-alikes in a Cyrillic text.
+_CYRILLIC, _LATIN = "[бвгджзийклмнптфцчшщъыьэюяәғқңөұүБГДЖЗИЙЛПФЦЧШЩЪЫЬЭЮЯӘҒҚҢӨҰҮ]", "[bfgklmnrtuvzDFGLNQRUVWZ]"
+_LETTERS = (
+    f"list_transform(regexp_extract_all({_BARE}, '[\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: translate(lower(CASE WHEN regexp_matches(w, '{_CYRILLIC}') OR NOT regexp_matches(w, '{_LATIN}') AND len(regexp_extract_all(text, '{_CYRILLIC}')) >= len(regexp_extract_all(text, '{_LATIN}')) "
+    f"THEN translate(w, 'aceopxyiABCEHKMOPTXYI', 'асеорхуіАВСЕНКМОРТХУІ') ELSE translate(w, {_ALIKE}) END), {_ALIKE}))"
+)
 
+
+def _pair_oracles() -> None:
+    """SQL for the pair queries: every pair by joining on what a reader sees, or on every word or gram."""
     source = r"coalesce(lower(regexp_replace(source, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')), '')"
     posts = f"SELECT delivery_id, {source} AS s, telegram_message_id AS m, text FROM raw_telegram_posts WHERE text IS NOT NULL"
     ORACLES["p1_found"] = (
-        f"WITH r AS ({posts}), k AS (SELECT *, {key_sql()} AS key FROM ({canonical_sql('r', 'text', 'delivery_id, s, m, text')}) AS c WHERE regexp_matches(canonical, '\\p{{L}}')) "
-        "SELECT a.delivery_id AS delivery_id_a, b.delivery_id AS delivery_id_b FROM k AS a JOIN k AS b ON a.key = b.key AND a.delivery_id < b.delivery_id WHERE a.text <> b.text AND (a.s <> b.s OR a.m <> b.m)"
+        f"WITH k AS (SELECT *, trim({_SEEN}, ' ' || chr(10)) AS key FROM ({posts}) AS p WHERE regexp_matches(text, '\\p{{L}}')) "
+        "SELECT a.delivery_id AS delivery_id_a, b.delivery_id AS delivery_id_b FROM k AS a JOIN k AS b ON a.key = b.key AND a.delivery_id < b.delivery_id WHERE a.text <> b.text AND (a.s <> b.s OR a.m IS DISTINCT FROM b.m)"
     )
     union = f"SELECT 'raw_telegram_posts' AS src, delivery_id AS id, s || ':' || m AS msg, text FROM ({posts}) AS p UNION ALL SELECT 'candidates', id, id::VARCHAR, text FROM candidates WHERE text IS NOT NULL"
     ORACLES["p4_found"] = (
-        f"WITH u AS ({union}), w AS (SELECT src, id, msg, list_distinct({words_sql()}) AS ws FROM ({canonical_sql('u', 'text', 'src, id, msg')}) AS c), f AS (SELECT src, id, msg, len(ws) AS n, unnest(ws) AS x FROM w WHERE len(ws) >= 10) "
+        f"WITH w AS (SELECT src, id, msg, list_distinct({_LETTERS}) AS ws FROM ({union}) AS u), f AS (SELECT src, id, msg, len(ws) AS n, unnest(ws) AS x FROM w WHERE len(ws) >= 10) "
         "SELECT a.src AS src_table, a.id AS id_a, b.id AS id_b FROM f AS a JOIN f AS b ON a.src = b.src AND a.x = b.x AND a.id < b.id AND a.msg <> b.msg AND least(a.n, b.n) >= 0.7 * greatest(a.n, b.n) "
         "GROUP BY a.src, a.id, b.id HAVING count(*) / (any_value(a.n) + any_value(b.n) - count(*)) >= 0.7"
     )
