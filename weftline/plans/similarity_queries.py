@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..functions import safety as S
 from ..functions import text as T
-from ..operators.similarity_join import greedy_keep, round_robin, set_similarity_join, shared_gram, vector_pairs
+from ..operators.similarity_join import greedy_keep, round_robin, set_links, set_similarity_join, shared_gram, vector_pairs
 from ..session import materialize, table
 from . import sqlgen as G
 from .text_queries import _VIOLATION, posts
@@ -56,7 +56,8 @@ def _flat(name: str, src: str, ident: str, text: str = "t") -> str:
 def copy_jaccard(spark, sf):
     x = candidates(spark, sf).select("id", T.stems(T.tokens("t")).alias("s")).where(F.size("s") >= 4)
     y = posts(spark, sf).select(F.col("delivery_id").alias("id"), T.stems(T.tokens("t")).alias("s"))
-    return set_similarity_join(x, 0.55, y).select(F.col("a").alias("id")).distinct()
+    links, members, _ = set_links(x, 0.55, y)
+    return members.join(links.select(F.col("a").alias("rep")).distinct(), "rep").select("id").distinct()
 
 
 @query(f"WITH {_C}, {_flat('cs', 'c', 'id')} SELECT a, b, round(o / (na + nb - o), 6) AS similarity FROM ({_overlap('cs', 'cs', 0.8, 'AND a.id < b.id')}) AS p")
@@ -119,7 +120,11 @@ _LEX = _overlap("fs", "fs", 0.45, "AND a.id < b.id")
 def greedy_lexical_dedupe(spark, sf):
     text = F.concat_ws(" ", F.coalesce("theme", F.lit("")), F.coalesce("subject", F.lit("")))
     sets = table(spark, sf, "seeds").select(F.col("id").cast("long").alias("id"), T.stems(T.tokens(text)).alias("s"))
-    return greedy_keep(_places(spark, sf), set_similarity_join(sets, 0.45).select("a", "b")).where("kept").select("id")
+    places = _places(spark, sf)
+    links, members, _ = set_links(sets.join(places, "id"), 0.45, first="place")
+    # A copy is dropped in any case: its first is kept, or dropped for a kept one before it that is like the copy too.
+    copies = members.where("id <> rep").select("id")
+    return greedy_keep(places.join(copies, "id", "left_anti"), links.select("a", "b")).where("kept").select("id")
 
 
 _LOCAL = f"""
@@ -145,12 +150,12 @@ def local_clean(spark, sf):
     reason = F.when(F.length("t") < 10, "too_short").when(F.length("t") > 550, "too_long").otherwise(F.coalesce(S.first_violation("t"), F.when(F.col("copied"), F.lit("copies_source"))))
     first = materialize(c.join(copied, "id", "left").select("id", T.dedupe_key("t").alias("k"), T.stems(T.tokens("t")).alias("s"), reason.alias("reason")), "local-clean")
     rest = first.where("reason IS NULL")
-    # Copies of one key are linked with the key's first row only: it is before them all, and if it is dropped they meet
-    # the same kept neighbours, since their word sets are equal.
-    lead = rest.groupBy("k").agg(F.min("id").alias("b"))
-    same = rest.select(F.col("id").alias("a"), "k").join(lead, "k").where("a <> b").select("a", "b")
-    near = set_similarity_join(rest.select("id", "s"), 0.8).select("a", "b")
-    state = greedy_keep(rest.select("id", F.col("id").alias("place")), same.union(near))
+    links, members, _ = set_links(rest.select("id", "s"), 0.8)
+    # A copy of a word set is dropped in any case: its first is kept, or dropped for a kept one before it that is like the
+    # copy too. Those that are left with one key have different word sets, so they are few.
+    alone = materialize(rest.select("id", "k").join(members.where("id <> rep").select("id"), "id", "left_anti"), "local-alone")
+    same = alone.select(F.col("id").alias("a"), "k").join(alone.select(F.col("id").alias("b"), "k"), "k").where("a < b").select("a", "b")
+    state = greedy_keep(alone.select("id", F.col("id").alias("place")), same.union(links.select("a", "b")))
     kept = state.where("kept").join(rest.select("id", "k"), "id").groupBy("k").agg(F.min("id").alias("kept_id"))
     out = first.join(state, "id", "left").join(kept, "k", "left")
     return out.select("id", F.when(F.col("reason").isNotNull(), F.col("reason")).when(F.col("kept"), "survivor").when(F.col("kept_id") < F.col("id"), "exact_duplicate").otherwise("lexical_near_duplicate").alias("outcome"))
