@@ -177,16 +177,17 @@ def question_type(t: Column | str) -> Column:
 
 
 def listed(t: Column | str, words: list[str]) -> Column:
-    """The words of the list that the text has, in the list's order."""
+    """The words of the list that the text has, in the list's order; most texts have none, which one pattern tells."""
     low = F.lower(col(t))
-    return F.filter(F.array(*[F.when(low.rlike(whole([w])), F.lit(w)) for w in words]), lambda x: x.isNotNull())
+    each = F.filter(F.array(*[F.when(low.rlike(whole([w])), F.lit(w)) for w in words]), lambda x: x.isNotNull())
+    return F.when(low.rlike(whole(words)), each).otherwise(F.array().cast("array<string>"))
 
 
 def topics(t: Column | str) -> Column:
     """All topics with a keyword in the text, or ``other``."""
     low = F.lower(col(t))
     hit = F.filter(F.array(*[F.when(low.rlike(whole(ws.split())), F.lit(k)) for k, ws in L.TOPICS.items()]), lambda x: x.isNotNull())
-    return F.when(F.size(hit) > 0, hit).otherwise(F.array(F.lit("other")))
+    return F.when(low.rlike(whole([w for ws in L.TOPICS.values() for w in ws.split()])), hit).otherwise(F.array(F.lit("other")))
 
 
 def count_words(t: Column | str, words: list[str]) -> Column:

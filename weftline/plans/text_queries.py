@@ -225,8 +225,9 @@ def style_profile(spark, sf):
         F.transform("topics", lambda x: pair("topics", x)),
         F.transform("casual", lambda x: pair("casual_words", x)),
     )
-    d = held(d, ["delivery_id", "source", "t"], casual=T.listed("t", L.CASUAL), topics=T.topics("t"))
-    counts = d.select("delivery_id", F.explode_outer(found).alias("x")).where(F.col("x.key").isNotNull()).groupBy("x.section", "x.key").agg(F.count("*").alias("n"), F.min("delivery_id").alias("first_seen"))
+    # The pairs are a projection of their own: there common parts are computed once, in a generator they are not.
+    d = d.select("delivery_id", "source", "t", T.listed("t", L.CASUAL).alias("casual"), T.topics("t").alias("topics")).select("delivery_id", found.alias("found"))
+    counts = d.select("delivery_id", F.explode_outer("found").alias("x")).where(F.col("x.key").isNotNull()).groupBy("x.section", "x.key").agg(F.count("*").alias("n"), F.min("delivery_id").alias("first_seen"))
     place = F.row_number().over(Window.partitionBy("section").orderBy(F.desc("n"), "first_seen", "key"))  # sections have few keys
     # Every post has one format, so that section's sum is the number of posts.
     total = F.sum(F.when(F.col("section") == "format", F.col("n"))).over(Window.partitionBy())
