@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicons as L
 from ..functions import safety as S
 from ..functions import text as T
-from ..operators.similarity_join import greedy_keep, round_robin, set_links, set_similarity_join, shared_gram, vector_pairs
+from ..operators.similarity_join import greedy_keep, greedy_vectors, round_robin, set_links, set_similarity_join, shared_gram, vector_pairs
 from ..session import materialize, table
 from . import sqlgen as G
 from .text_queries import _VIOLATION, posts
@@ -109,8 +109,8 @@ _COS = "SELECT a.id AS a, b.id AS b FROM u AS a JOIN u AS b ON a.id < b.id WHERE
 
 @query(f"WITH RECURSIVE {_SEEDS}, u AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM s WHERE v IS NOT NULL), {_ORDERED}, {_fold(_COS)} SELECT o.id FROM f JOIN o ON o.rn = f.rn")
 def greedy_semantic_dedupe(spark, sf):
-    pairs = vector_pairs(_seed_vectors(spark, sf), L.SIMILARITY["embedding"]["seed"])
-    return greedy_keep(_places(spark, sf), pairs.select("a", "b")).where("kept").select("id")
+    vectors = _seed_vectors(spark, sf).withColumn("id", F.col("id").cast("long"))
+    return greedy_vectors(_places(spark, sf).join(vectors, "id"), L.SIMILARITY["embedding"]["seed"])
 
 
 _LEX = _overlap("fs", "fs", 0.45, "AND a.id < b.id")
