@@ -81,7 +81,7 @@ def _seed_vectors(spark, sf):
 
 @query(f"WITH {_SEEDS}, u AS (SELECT id, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS v FROM s WHERE v IS NOT NULL) SELECT a.id AS a, b.id AS b, round(list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])), 6) AS cosine FROM u AS a JOIN u AS b ON a.id < b.id WHERE list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2])) >= 0.45")
 def cosine_pairs(spark, sf):
-    return vector_pairs(_seed_vectors(spark, sf), L.SIMILARITY["embedding"]["soft"]).select("a", "b", F.round("cosine", 6).alias("cosine"))
+    return vector_pairs(_seed_vectors(spark, sf), L.SIMILARITY["embedding"]["soft"], digits=6)
 
 
 @query("SELECT id, domain, turn, lead FROM (SELECT id, domain, row_number() OVER (PARTITION BY domain ORDER BY id) AS turn, min(id) OVER (PARTITION BY domain) AS lead FROM seeds) AS x")
