@@ -9,6 +9,7 @@ from ..functions import lexicons as L
 from ..functions import safety as S
 from ..functions import text as T
 from ..operators.similarity_join import greedy_keep, greedy_vectors, round_robin, set_links, set_similarity_join, shared_gram, vector_pairs
+from ..operators.set_matches import set_matches
 from ..session import materialize, table
 from . import sqlgen as G
 from .text_queries import _VIOLATION, posts
@@ -54,10 +55,8 @@ def _flat(name: str, src: str, ident: str, text: str = "t") -> str:
 
 @query(f"WITH {G.POSTS}, {_C}, {_flat('cs', 'c', 'id')}, {_flat('ps', 'posts', 'delivery_id')}, p AS ({_overlap('cs', 'ps', 0.55, 'WHERE a.n >= 4')}) SELECT DISTINCT a AS id FROM p")
 def copy_jaccard(spark, sf):
-    x = candidates(spark, sf).select("id", T.stems(T.tokens("t")).alias("s")).where(F.size("s") >= 4)
-    y = posts(spark, sf).select(F.col("delivery_id").alias("id"), T.stems(T.tokens("t")).alias("s"))
-    links, members, _ = set_links(x, 0.55, y)
-    return members.join(links.select(F.col("a").alias("rep")).distinct(), "rep").select("id").distinct()
+    x = candidates(spark, sf).select("id", F.lower("t").alias("low"))
+    return set_matches(x, posts(spark, sf).select(F.lower("t").alias("low")), 0.55, 4)
 
 
 @query(f"WITH {_C}, {_flat('cs', 'c', 'id')} SELECT a, b, round(o / (na + nb - o), 6) AS similarity FROM ({_overlap('cs', 'cs', 0.8, 'AND a.id < b.id')}) AS p")
